@@ -9,32 +9,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Schemes whose URLs count as links, and those a crawler can fetch.
-LINK_SCHEMES = ("http", "https", "ftp", "file", "mailto", "jar")
-WEB_SCHEMES = ("http", "https")
-
-# URL grammar.
+# URL grammar. Links may have the schemes http, https, ftp, file, mailto and jar; a
+# crawler fetches http and https.
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)"
-AUTHORITY = r"^[a-z]+://(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^/?#:]*)(?::(?:-1|[0-9]{0,9}))?(?:[/?#]|$)"
+LINK_URL = (
+    r"^(?i:https?|ftp|file):(?:/?(?:[^/]|$)"
+    r"|//(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^/?#:]*)(?::(?:-1|[0-9]{0,9}))?(?:[/?#]|$))"
+    r"|^(?i:mailto):|^(?i:jar):.*!/")
+WEB_URL = r"^(?i:https?):"
 IPV6_HOST = r"^((?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@\[\]]*@)?)\[[0-9A-Fa-f:.]+\]"
-
-# Each pattern, found anywhere in a link, makes it ill-formed.
-ILLEGAL = (
-    r'[\x00-\x20\x7f-\x{9f}\p{Z}"<>\\^`{|}]',
-    r"%(?:[^0-9A-Fa-f]|$|[0-9A-Fa-f](?:[^0-9A-Fa-f]|$))",
-    r"#[^#]*#",
-    r"^[A-Za-z][A-Za-z0-9+.-]*:(?:$|#)",
-    r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//$",
-    r"^(?:[^A-Za-z/?#:][^/?#:]*)?:",
-    r"^[^/?#:]*[^A-Za-z0-9+./?#:-][^/?#:]*:",
-)
-BRACKET_IN_PATH = r"^[^?#]*[\[\]]"
-OPAQUE = r"^[A-Za-z][A-Za-z0-9+.-]*:[^/]"
 URL_PREFIX = r"^(?i:url):"
 EMPTY_AUTHORITY = r"^([a-z]+)://([?#]|/(?:[^/]|$))"
 
+# Each of these, found anywhere in a link, makes it ill-formed.
+ILL_FORMED = "|".join((
+    r'[\x00-\x20\x7f-\x{9f}\p{Z}"<>\\^`{|}]',                      # a character that must be escaped
+    r"%(?:[^0-9A-Fa-f]|$|[0-9A-Fa-f](?:[^0-9A-Fa-f]|$))",          # a broken escape
+    r"#[^#]*#",                                                    # a second fragment
+    r"^[A-Za-z][A-Za-z0-9+.-]*:(?:$|#)",                           # a scheme and nothing else
+    r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//$",                          # no authority and no path
+    r"^(?:[^A-Za-z/?#:][^/?#:]*)?:",                               # a bad start of a scheme
+    r"^[^/?#:]*[^A-Za-z0-9+./?#:-][^/?#:]*:",                      # a bad character in a scheme
+))
+BRACKET_BEFORE_QUERY = r"^[^?#]*[\[\]]"
+OPAQUE = r"^[A-Za-z][A-Za-z0-9+.-]*:[^/]"
+
 
 def scheme_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, SCHEME, 1))
@@ -57,22 +58,20 @@ def url_parts(url: Column) -> Column:
 
 def is_legal(link: Column) -> Column:
     """Whether ``link`` has legal URI syntax (relative links included)."""
-    bad = F.lit(False)
-    for pattern in ILLEGAL:
-        bad = bad | link.rlike(pattern)
-    bracket = F.regexp_replace(link, IPV6_HOST, "$1").rlike(BRACKET_IN_PATH) & ~link.rlike(OPAQUE)
-    return ~(bad | bracket)
+    outside_host = F.regexp_replace(link, IPV6_HOST, "$1").rlike(BRACKET_BEFORE_QUERY)
+    return ~(link.rlike(ILL_FORMED) | (link.contains("[") | link.contains("]")) & outside_host
+             & ~link.rlike(OPAQUE))
+
 
+def canonical_url(link: Column) -> Column:
+    """A well-formed absolute link with its scheme lowered; NULL for a scheme or port not known."""
+    lowered = F.concat(F.lower(F.substring_index(link, ":", 1)), F.substr(link, F.instr(link, ":")))
+    return F.when(link.rlike(LINK_URL), F.regexp_replace(lowered, EMPTY_AUTHORITY, "$1:$2"))
 
-def absolute_url(link: Column, legal: Column | None = None) -> Column:
-    """An absolute link in canonical form, NULL when ill-formed or of an unknown scheme."""
-    legal = is_legal(link) if legal is None else legal
-    link = F.regexp_replace(link, URL_PREFIX, "")
-    scheme = scheme_of(link)
-    lowered = F.concat(scheme, F.substr(link, F.length(scheme) + 1))
-    known = scheme.isin(*LINK_SCHEMES) & ((scheme != "jar") | link.contains("!/"))
-    port_ok = ~lowered.rlike("^[a-z]+://") | lowered.rlike(AUTHORITY)
-    return F.when(legal & known & port_ok, F.regexp_replace(lowered, EMPTY_AUTHORITY, "$1:$2"))
+
+def absolute_url(link: Column) -> Column:
+    """``link`` in canonical form if it is a usable absolute URL, else NULL."""
+    return F.when(is_legal(link), canonical_url(F.regexp_replace(link, URL_PREFIX, "")))
 
 
 def base_directory(path: Column) -> Column:
@@ -86,23 +85,34 @@ def base_directory(path: Column) -> Column:
     return F.when(full.endswith("/"), full).otherwise(F.concat(full, F.lit("/")))
 
 
-def resolve_url(href: Column, proto: Column, host: Column, path: Column) -> Column:
-    """Resolve ``href`` against a page; NULL when the result is no usable URL.
-
-    Dot segments are kept as they are, see ``dotdot_count``.
-    """
+def joined_url(href: Column, proto: Column, host: Column, path: Column) -> Column:
+    """``href`` made absolute; NULL if it is ill-formed."""
     site = F.concat(proto, F.lit("://"), host)
     full = (
         F.when(href.startswith("//"), F.concat(proto, F.lit(":"), href))
-        .when(href.rlike(SCHEME), href)
         .when(href.startswith("/"), F.concat(site, href))
+        .when(href.rlike(SCHEME), F.regexp_replace(href, URL_PREFIX, ""))
         .otherwise(F.concat(site, base_directory(path), href)))
-    return absolute_url(full, is_legal(href))
+    return F.when(is_legal(href), full)
+
+
+def resolve_url(href: Column, proto: Column, host: Column, path: Column) -> Column:
+    """Resolve ``href`` against a page; NULL when the result is no usable URL.
+
+    Dot segments are kept as they are, see ``dotdot_count``.
+    """
+    return canonical_url(joined_url(href, proto, host, path))
+
+
+def resolve_urls(hrefs: Column, proto: Column, host: Column, path: Column) -> Column:
+    """Resolve an array of hrefs of one page; those that give no usable URL are left out."""
+    full = F.transform(hrefs, lambda href: joined_url(href, proto, host, path))
+    return F.filter(F.transform(full, canonical_url), lambda link: link.isNotNull())
 
 
 def is_web_url(url: Column) -> Column:
     """Whether a crawler can fetch ``url``."""
-    return scheme_of(url).isin(*WEB_SCHEMES)
+    return url.rlike(WEB_URL)
 
 
 def dotdot_count(url: Column) -> Column:

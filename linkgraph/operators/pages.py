@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.functions.html import anchor_hrefs
 from linkgraph.functions.text import normalise_body
-from linkgraph.functions.urls import host_of, is_web_url, path_of, resolve_url, scheme_of
+from linkgraph.functions.urls import (
+    host_of, is_web_url, path_of, resolve_url, resolve_urls, scheme_of)
 
 
 class _AnchorParser(HTMLParser):
@@ -50,14 +51,15 @@ def extract_links(pages: DataFrame, exact: bool = False) -> DataFrame:
     return with_hrefs(pages, exact).select("page_id", "url", F.posexplode("hrefs").alias("ord", "href"))
 
 
-def resolved_href(href: Column, page_url: Column) -> Column:
-    return resolve_url(href, scheme_of(page_url), host_of(page_url), path_of(page_url))
-
-
 def resolve_links(hrefs: DataFrame) -> DataFrame:
-    """Hrefs against the URL of their page: ``page_id, url, ord, link``; bad ones are dropped."""
-    return (hrefs.select("page_id", "url", "ord", resolved_href(F.col("href"), F.col("url")).alias("link"))
-            .where(F.col("link").isNotNull()))
+    """Hrefs against the URL of their page: ``page_id, url, ord, link``; bad ones are dropped.
+
+    The link is made and tested inside one generator, as a plain filter would be pushed below the
+    projection and work every link out twice.
+    """
+    link = resolve_url(F.col("href"), scheme_of(F.col("url")), host_of(F.col("url")), path_of(F.col("url")))
+    good = F.filter(F.array(link), lambda item: item.isNotNull())
+    return hrefs.select("page_id", "url", "ord", F.explode(good).alias("link"))
 
 
 def crawl_outputs(pages: DataFrame, exact: bool = False) -> DataFrame:
@@ -65,14 +67,10 @@ def crawl_outputs(pages: DataFrame, exact: bool = False) -> DataFrame:
 
     Pages without links keep an empty list.
     """
-    based = with_hrefs(pages, exact).select(
-        "page_id", "url", "hrefs", normalise_body(F.col("html")).alias("body"),
-        scheme_of(F.col("url")).alias("proto"), host_of(F.col("url")).alias("host"),
-        path_of(F.col("url")).alias("path"))
-    links = F.transform(
-        "hrefs", lambda href: resolve_url(href, F.col("proto"), F.col("host"), F.col("path")))
-    return based.select(
-        "page_id", "url", "body", F.filter(links, lambda link: link.isNotNull()).alias("targets"))
+    url = F.col("url")
+    return with_hrefs(pages, exact).select(
+        "page_id", "url", normalise_body(F.col("html")).alias("body"),
+        resolve_urls(F.col("hrefs"), scheme_of(url), host_of(url), path_of(url)).alias("targets"))
 
 
 def page_links(outputs: DataFrame) -> DataFrame:
@@ -81,7 +79,7 @@ def page_links(outputs: DataFrame) -> DataFrame:
 
 
 def candidate_urls(pages: DataFrame, exact: bool = False) -> DataFrame:
-    """Fetchable links of pages: ``page_id, ord, url, host``."""
-    links = resolve_links(extract_links(pages, exact))
-    return links.where(is_web_url(F.col("link"))).select(
-        "page_id", "ord", F.col("link").alias("url"), host_of(F.col("link")).alias("host"))
+    """Fetchable links of pages: ``page_id, ord, url, host``, with ``ord`` among the usable links."""
+    targets = crawl_outputs(pages, exact).select(
+        "page_id", F.posexplode("targets").alias("ord", "url"))
+    return targets.where(is_web_url(F.col("url"))).withColumn("host", host_of(F.col("url")))

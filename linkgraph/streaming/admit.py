@@ -31,5 +31,6 @@ def arrivals_per_window(events: DataFrame, ts: str = "ts", every: str = ROTATION
 
     The watermark bounds the state of a stream and does nothing in a batch.
     """
+    events = events.withColumn(ts, F.col(ts).cast("timestamp"))
     return (events.withWatermark(ts, delay).groupBy(F.window(ts, every)).agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n"))
