@@ -51,6 +51,8 @@ def drop_trap_urls(urls: DataFrame, max_dotdot: int = MAX_DOTDOT) -> DataFrame:
 def first_occurrence(urls: DataFrame, *order_cols: str) -> DataFrame:
     """The earliest row of every URL; repeats are combined before the shuffle."""
     rest = [c for c in urls.columns if c != "url" and c not in order_cols]
+    if not rest and len(order_cols) == 1:
+        return urls.groupBy("url").agg(F.min(order_cols[0]).alias(order_cols[0])).select(*urls.columns)
     first = F.min(F.struct(*order_cols, *rest)).alias("first")
     picked = urls.groupBy("url").agg(first)
     return picked.select(*[c if c == "url" else f"first.{c}" for c in urls.columns])

@@ -47,25 +47,35 @@ def degree_table(pairs: DataFrame) -> DataFrame:
             .agg(F.sum("end.m").alias("out_degree")))
 
 
-def link_graph(edges: DataFrame, distinct_edges: bool = False, partitions: int | None = None,
+def link_graph(edges: DataFrame, distinct_edges: bool = False,
                hot_share: float = HOT_SHARE) -> LinkGraph:
-    """Prepare ``edges`` (``src, dst``) for steps.
+    """Prepare ``edges`` (``src, dst``) for steps, in ``spark.sql.shuffle.partitions`` partitions.
 
     The pairs are written once to the checkpoint folder, so that a lost executor costs a re-read and
     not a re-parse; what is cached on top of them is only a layout.
     """
-    spark = edges.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = checkpointed(edge_pairs(edges, distinct_edges))
-    hubs = hot_keys(pairs, "src", pairs.count(), hot_share).persist()
-    nodes = degree_table(pairs).repartition(n, "node").persist()
+    total = pairs.count()
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hubs = hot_keys(pairs, "src", total, hot_share).persist()
+    nodes = _laid_out(degree_table(pairs), n, "node")
     if hubs.isEmpty():
         hubs.unpersist()
-        return LinkGraph(nodes, pairs.repartition(n, "src").persist(), None, None)
+        return LinkGraph(nodes, _laid_out(pairs, n, "src"), None, None)
     small_hubs = F.broadcast(hubs)
-    cold = pairs.join(small_hubs, "src", "left_anti").repartition(n, "src").persist()
+    cold = pairs.join(small_hubs, "src", "left_anti")
     hot = pairs.join(small_hubs, "src", "left_semi").persist()
-    return LinkGraph(nodes, cold, hot, hubs)
+    return LinkGraph(nodes, _laid_out(cold, n, "src"), hot, hubs)
+
+
+def _laid_out(rows: DataFrame, n: int, key: str) -> DataFrame:
+    """Cache ``rows`` partitioned and sorted by ``key``, so that steps neither shuffle nor sort them.
+
+    The cache is filled here: only then does the planner know how it is partitioned.
+    """
+    rows = rows.repartition(n, key).sortWithinPartitions(key).persist()
+    rows.count()
+    return rows
 
 
 def initial_state(graph: LinkGraph) -> DataFrame:

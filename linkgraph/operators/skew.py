@@ -34,10 +34,10 @@ def order_splits(rows: DataFrame, order_col: str, rows_per_slot: int = 5_000_000
 
 
 def with_slot(rows: DataFrame, order_col: str, splits: list[float]) -> DataFrame:
-    """Add ``slot``, which never falls as ``order_col`` grows."""
+    """Add ``slot``, which never falls as ``order_col`` grows; rows without an order come first."""
     if not splits:
         return rows.withColumn("slot", F.lit(0))
     bounds = [-math.inf, *splits, math.inf]
     numbered = rows.withColumn("slot_value", F.col(order_col).cast("double"))
     return (Bucketizer(splits=bounds, inputCol="slot_value", outputCol="slot").transform(numbered)
-            .withColumn("slot", F.col("slot").cast("int")).drop("slot_value"))
+            .withColumn("slot", F.coalesce(F.col("slot").cast("int"), F.lit(-1))).drop("slot_value"))

@@ -12,33 +12,43 @@ from linkgraph.session import checkpointed
 
 def rank_edges(edges: DataFrame, max_iter: int = 1, tol: float | None = None,
                damping: float = DAMPING, check_every: int = 1, checkpoint_every: int = 5,
-               distinct_edges: bool = False, partitions: int | None = None) -> DataFrame:
+               distinct_edges: bool = False) -> DataFrame:
     """The state after ``max_iter`` steps, or fewer once no rank moves by more than ``tol``.
 
-    States are written to the checkpoint folder every few steps and before each test, so neither
-    the plan nor the work lost with an executor grows with the number of steps.
+    States are written to the checkpoint folder every few steps and at the end, so neither the plan
+    nor the work lost with an executor grows with the number of steps. In between, a state that is
+    read twice, by a test or next to hub edges, is cached in its layout.
     """
-    graph = link_graph(edges, distinct_edges, partitions)
-    state = initial_state(graph)
+    graph = link_graph(edges, distinct_edges)
+    state, cached = initial_state(graph), []
     for i in range(1, max_iter + 1):
         following = pagerank_step(state, graph, damping)
         check = tol is not None and i % check_every == 0
-        if check or i % checkpoint_every == 0 or i == max_iter:
+        if i % checkpoint_every == 0:
             following = checkpointed(following)
+            release(cached)
+        elif check or graph.hub_edges is not None:
+            cached.append(following.persist())
+            following.count()
         done = check and has_converged(state, following, tol)
         state = following
         if done:
             break
-    if max_iter > 0:
-        graph.release()
+    state = checkpointed(state)
+    release(cached)
+    graph.release()
     return state
 
 
+def release(cached: list[DataFrame]) -> None:
+    while cached:
+        cached.pop().unpersist()
+
+
 def pagerank(links: DataFrame, max_iter: int = 1, tol: float | None = None,
              damping: float = DAMPING, check_every: int = 1, checkpoint_every: int = 5,
-             limit: int | None = None, distinct_edges: bool = False,
-             partitions: int | None = None) -> DataFrame:
+             limit: int | None = None, distinct_edges: bool = False) -> DataFrame:
     """Rank a link table (``source, targets``): ``node, rank`` in rank order."""
     state = rank_edges(to_edges(links), max_iter, tol, damping, check_every, checkpoint_every,
-                       distinct_edges, partitions)
+                       distinct_edges)
     return pagerank_finish(state, limit)
