@@ -7,10 +7,10 @@ from pyspark.sql import Column, functions as F
 # Elements whose content is text, never markup.
 TEXT_ELEMENTS = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
 
-# One alternation, so that whichever construct opens first wins, as in a tokenizer.
-NOT_MARKUP = "(?is)" + "|".join(
-    [r"<!--.*?(?:-->|\z)"]
-    + [rf"<{name}(?:[\s/][^>]*)?>.*?(?:</{name}[^>]*>|\z)" for name in TEXT_ELEMENTS])
+# One alternation, so that whichever construct opens first wins, as in a tokenizer. The
+# shared "<" in front lets the engine pass over plain text.
+NOT_MARKUP = r"(?is)<(?:!--.*?(?:-->|\z)|" + "|".join(
+    rf"{name}(?:[\s/][^>]*)?>.*?(?:</{name}[^>]*>|\z)" for name in TEXT_ELEMENTS) + ")"
 ANCHOR_HREF = (
     r"""(?i)<a(?:[\s/]+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?"""
     r"""[\s/]+href(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|[\s/>])""")

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The characters cut from both ends of bodies and tokens, and the line ends.
-BLANK_ENDS = r"^[\x00-\x20]+|[\x00-\x20]+\z"
-LINE_ENDS = r"\r\n|\r"
+# The characters cut from both ends of bodies and tokens.
+BLANKS = "".join(chr(code) for code in range(0x21))
 
 
 def strip_blanks(text: Column) -> Column:
     """Cut characters up to U+0020 from both ends."""
-    return F.regexp_replace(text, BLANK_ENDS, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def normalise_body(text: Column) -> Column:
     """Join the lines of a body by a plain newline and strip blanks from both ends."""
-    return strip_blanks(F.regexp_replace(text, LINE_ENDS, "\n"))
+    lines = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return strip_blanks(lines)
 
 
 def format_list(items: Column) -> Column:
