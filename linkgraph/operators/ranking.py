@@ -12,68 +12,88 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.operators.edges import edge_pairs, to_edges
-from linkgraph.operators.skew import HOT_SHARE, hot_keys
-from linkgraph.session import checkpointed
+from linkgraph.session import drop_path, scratch_path, written
 
 # Damping and the rank of a node before the first step.
 DAMPING = 0.85
 START_RANK = 1.0
 
+# A source with more than this share of all edges is a hub, and one with more than an average
+# partition; so there are never more than 1000 hubs or, if that is more, one per partition.
+HUB_SHARE = 1 / 1000
+
+# Below this many pairs per partition, a fixed layout costs more than it saves.
+MIN_PAIRS_PER_PARTITION = 10_000
+
 
 class LinkGraph(NamedTuple):
     """Edges laid out for repeated steps.
 
     ``edges`` are partitioned by source, next to the ranks. Sources with a large share of all edges
-    are kept apart in ``hub_edges`` (None if there are none), spread over all partitions; their
-    ranks, fewer than 1 / HOT_SHARE rows, are broadcast.
+    are kept apart in ``hub_edges`` (None if there are none), spread over all partitions; their few
+    ranks (see HUB_SHARE) are broadcast. ``path`` holds the table all is built from.
     """
     nodes: DataFrame
     edges: DataFrame
     hub_edges: DataFrame | None
     hubs: DataFrame | None
+    path: str
 
     def release(self) -> None:
+        """Give up caches and files; what was not computed before cannot be computed any more."""
         for frame in (self.nodes, self.edges, self.hub_edges, self.hubs):
             if frame is not None:
                 frame.unpersist()
+        drop_path(self.nodes.sparkSession, self.path)
 
 
 def degree_table(pairs: DataFrame) -> DataFrame:
-    """``node, out_degree`` of all sources and targets; NULL for a node that is only a target."""
+    """``node, out_degree, fanout`` of all sources and targets.
+
+    ``out_degree`` counts links and is NULL for a node that is only a target, ``fanout`` counts
+    different targets.
+    """
     ends = F.explode(F.array(
         F.struct(F.col("src").alias("node"), F.col("m").alias("m")),
         F.struct(F.col("dst").alias("node"), F.lit(None).cast("bigint").alias("m"))))
     return (pairs.select(ends.alias("end")).groupBy("end.node")
-            .agg(F.sum("end.m").alias("out_degree")))
+            .agg(F.sum("end.m").alias("out_degree"), F.count("end.m").alias("fanout")))
 
 
 def link_graph(edges: DataFrame, distinct_edges: bool = False,
-               hot_share: float = HOT_SHARE) -> LinkGraph:
+               hub_share: float | None = None) -> LinkGraph:
     """Prepare ``edges`` (``src, dst``) for steps, in ``spark.sql.shuffle.partitions`` partitions.
 
     The pairs are written once to the checkpoint folder, so that a lost executor costs a re-read and
     not a re-parse; what is cached on top of them is only a layout.
     """
-    pairs = checkpointed(edge_pairs(edges, distinct_edges))
-    total = pairs.count()
-    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hubs = hot_keys(pairs, "src", total, hot_share).persist()
+    spark = edges.sparkSession
+    path = scratch_path(spark, "pairs")
+    pairs = written(edge_pairs(edges, distinct_edges), path)
+    n, total = int(spark.conf.get("spark.sql.shuffle.partitions")), pairs.count()
+    limit = total * (hub_share or min(HUB_SHARE, 1 / n))
+    n = min(n, total // MIN_PAIRS_PER_PARTITION + 1)
     nodes = _laid_out(degree_table(pairs), n, "node")
+    hubs = nodes.where(F.col("fanout") > limit).select(F.col("node").alias("src")).persist()
     if hubs.isEmpty():
         hubs.unpersist()
-        return LinkGraph(nodes, _laid_out(pairs, n, "src"), None, None)
+        return LinkGraph(nodes, _laid_out(pairs, n, "src"), None, None, path)
     small_hubs = F.broadcast(hubs)
     cold = pairs.join(small_hubs, "src", "left_anti")
     hot = pairs.join(small_hubs, "src", "left_semi").persist()
-    return LinkGraph(nodes, _laid_out(cold, n, "src"), hot, hubs)
+    return LinkGraph(nodes, _laid_out(cold, n, "src"), hot, hubs, path)
 
 
 def _laid_out(rows: DataFrame, n: int, key: str) -> DataFrame:
     """Cache ``rows`` partitioned and sorted by ``key``, so that steps neither shuffle nor sort them.
 
-    The cache is filled here: only then does the planner know how it is partitioned.
+    The cache is filled here: only then does the planner know how it is partitioned. Few rows go to
+    fewer than the usual partitions instead, in any layout.
     """
-    rows = rows.repartition(n, key).sortWithinPartitions(key).persist()
+    if n == int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        rows = rows.repartition(n, key).sortWithinPartitions(key).persist()
+    else:
+        rows = rows.coalesce(n).persist()
     rows.count()
     return rows
 

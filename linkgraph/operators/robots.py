@@ -104,7 +104,8 @@ def allowed(frontier: DataFrame, rules: DataFrame, agent: str, match_on: str = "
 
     ``match_on="path"`` tests the path and ignores empty values; ``"url"`` tests the full URL
     literally, where an empty value excludes everything. Allow values have no effect. One row of
-    prefixes per host is looked up, so URLs and rules are never paired in a shuffle.
+    prefixes per host is looked up, so URLs and rules are never paired in a shuffle; the tested text
+    is made before the join, once per URL and not once per prefix.
     """
     if match_on not in ("path", "url"):
         raise ValueError("match_on is 'path' or 'url'")
@@ -113,7 +114,7 @@ def allowed(frontier: DataFrame, rules: DataFrame, agent: str, match_on: str = "
     if match_on == "path":
         target = path_of(F.col("url"))
         prefixes = prefixes.select("host", F.array_remove("prefixes", "").alias("prefixes"))
-    slashed = F.concat(target, F.lit("/"))
-    hit = F.exists("prefixes", lambda p: slashed.startswith(p))
-    return (frontier.join(prefixes, "host", "left")
+    slashed = frontier.withColumn("slashed", F.concat(target, F.lit("/")))
+    hit = F.exists("prefixes", lambda p: F.col("slashed").startswith(p))
+    return (slashed.join(prefixes, "host", "left")
             .where(~F.coalesce(hit, F.lit(False))).select(*frontier.columns))

@@ -7,19 +7,10 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot from this share of the rows on, so there are never more than 1 / HOT_SHARE hot keys.
-HOT_SHARE = 1 / 1000
-
 # Upper limit on the number of slots; the bounds of all slots are held by the driver.
 MAX_SLOTS = 20_000
 
 
-def hot_keys(rows: DataFrame, key: str, total: int, share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``share`` of ``total`` rows: fewer than ``1 / share``, so safe to broadcast."""
-    return (rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > total * share).select(key))
-
-
 def order_splits(rows: DataFrame, order_col: str, rows_per_slot: int = 5_000_000) -> list[float]:
     """Bounds that cut the values of ``order_col`` into slots of about ``rows_per_slot`` rows.
 

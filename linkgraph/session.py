@@ -60,3 +60,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the files, with the lineage cut."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as a table at ``path`` and go on from there, reading only the columns needed."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete temporary output, on whatever file system it is; False if there was none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

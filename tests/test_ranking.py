@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import linkgraph as lg
-from linkgraph.operators.ranking import LinkGraph, contributions
+from linkgraph.operators import ranking
+from linkgraph.operators.ranking import contributions
 from linkgraph.sources.links import parse_links
 
 LINES = ["A\t[B, C, D]", "B\t[B, C]", "C\t[A, A]", "E\t[A]", "Z\t[]", "Y\t[Y]", "bad line", "W\t"]
@@ -95,11 +96,12 @@ def hub_edges(seed):
             + [(rng.choice(nodes), rng.choice(nodes + ["hub"])) for _ in range(1000)])
 
 
-@pytest.mark.parametrize("share", [0.5, 0.05])
-def test_hubs(spark, share):
+@pytest.mark.parametrize("share, rows_per_partition", [(0.5, 1), (0.05, 1), (0.05, 10_000)])
+def test_hubs(spark, monkeypatch, share, rows_per_partition):
+    monkeypatch.setattr(ranking, "MIN_PAIRS_PER_PARTITION", rows_per_partition)
     rows = hub_edges(3)
     edges = spark.createDataFrame(rows, "src string, dst string")
-    graph = lg.link_graph(edges, hot_share=share)
+    graph = lg.link_graph(edges, hub_share=share)
     assert (graph.hub_edges is None) == (share == 0.5)
     if graph.hub_edges is not None:
         assert [r.src for r in graph.hubs.collect()] == ["hub"]
@@ -119,13 +121,14 @@ def test_mass_is_kept_without_dangling_nodes(spark):
     assert sum(ranks(state).values()) == pytest.approx(len({n for e in rows for n in e}), abs=1e-9)
 
 
-def test_a_step_shuffles_contributions_only(spark):
+def test_a_step_shuffles_contributions_only(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "MIN_PAIRS_PER_PARTITION", 1)
     rows = [(f"n{i}", f"n{(i * 7 + j) % 400}") for i in range(400) for j in range(5)]
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        graph = lg.link_graph(spark.createDataFrame(rows, "src string, dst string"), hot_share=0.5)
-        graph = LinkGraph(graph.nodes, graph.edges, None, None)
+        graph = lg.link_graph(spark.createDataFrame(rows, "src string, dst string"), hub_share=0.5)
+        assert graph.hub_edges is None
         for steps in (1, 2, 3):
             state = lg.initial_state(graph)
             for _ in range(steps):
@@ -145,7 +148,7 @@ def test_a_step_shuffles_contributions_only(spark):
 
 def test_contributions_are_summed_before_the_shuffle(spark):
     rows = [(f"n{i}", "sink") for i in range(2000)]
-    graph = lg.link_graph(spark.createDataFrame(rows, "src string, dst string"), hot_share=0.5)
+    graph = lg.link_graph(spark.createDataFrame(rows, "src string, dst string"), hub_share=0.5)
     df = contributions(lg.initial_state(graph), graph)
     assert df.first()["received"] == 2000.0
     assert "partial_sum" in df._jdf.queryExecution().executedPlan().toString()
