@@ -24,7 +24,10 @@ def weighted_edges(edges: DataFrame, distinct_edges: bool = False) -> DataFrame:
     """``src, dst, w``: the share of the source's rank a link passes on.
 
     A view for export; the rank steps keep the degree with the node instead of with every edge.
+    Degrees are grouped by one more key than the join, so that it shuffles both sides and adaptive
+    execution can split a hub.
     """
     pairs = edge_pairs(edges, distinct_edges)
-    degrees = pairs.groupBy("src").agg(F.sum("m").alias("out_degree"))
+    degrees = pairs.groupBy("src", F.hash("src").alias("src_hash")).agg(
+        F.sum("m").alias("out_degree")).drop("src_hash")
     return pairs.join(degrees, "src").select("src", "dst", (F.col("m") / F.col("out_degree")).alias("w"))

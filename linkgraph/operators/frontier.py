@@ -149,21 +149,25 @@ def route_fetches(fetch_log: DataFrame, host_state: DataFrame, max_bytes: int) -
         F.when(F.col("action") != "drop", F.col("next_request_ms")).alias("next_request_ms"))
 
 
+def registered(urls: DataFrame, now_ms: int) -> Registered:
+    """Enter the hosts of ``urls``, which carry ``crawl_delay`` (NULL for a host without rules)."""
+    now = F.lit(now_ms).cast("bigint")
+    delay = F.coalesce("crawl_delay", F.lit(DEFAULT_DELAY))
+    timed = urls.withColumn("crawl_delay", delay).withColumn(
+        "next_request_ms", now + step_ms(now, F.col("crawl_delay")))
+    new_hosts = timed.groupBy("host").agg(
+        F.max("crawl_delay").alias("crawl_delay"), F.max("next_request_ms").alias("next_request_ms"))
+    return Registered(timed.drop("crawl_delay"), new_hosts)
+
+
 def register_hosts(urls: DataFrame, rules: DataFrame, now_ms: int, agent: str) -> Registered:
     """Enter the hosts of ``urls`` (``url, host``) and put the URLs back with now plus the delay.
 
     A host without rules has the default delay.
     """
     delays = effective_delay(rules, agent)
-    hosts = urls.select("host").distinct().join(delays, "host", "left").select(
-        "host", F.coalesce("crawl_delay", F.lit(DEFAULT_DELAY)).alias("crawl_delay"))
-    now = F.lit(now_ms).cast("bigint")
-    new_hosts = hosts.select(
-        "host", "crawl_delay", (now + step_ms(now, F.col("crawl_delay"))).alias("next_request_ms"))
-    requeued = urls.drop("next_request_ms").join(
-        new_hosts.select("host", "next_request_ms"), "host").select(
-        *[c for c in urls.columns if c != "next_request_ms"], "next_request_ms")
-    return Registered(requeued, new_hosts)
+    columns = [c for c in urls.columns if c != "next_request_ms"]
+    return registered(urls.select(*columns).join(delays, "host", "left").select(*columns, "crawl_delay"), now_ms)
 
 
 def is_due(now_ms: int | Column, horizon_ms: int = DUE_HORIZON_MS) -> Column:

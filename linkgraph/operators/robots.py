@@ -83,20 +83,59 @@ def _last_delay(who: Column) -> Column:
     return F.max_by(F.when(mine, F.col("value").cast("double")), F.when(mine, F.col("ord")))
 
 
+def _per_host(rules: DataFrame):
+    """Group by host and its hash.
+
+    Grouped by host alone, the result would go into a join on host without a shuffle of its own, and
+    adaptive execution splits a hot host only where both sides come straight from a shuffle.
+    """
+    return rules.groupBy("host", F.hash("host").alias("host_hash"))
+
+
+def _delay(agent: str) -> Column:
+    own, any_ = _last_delay(F.col("agent") == agent), _last_delay(F.col("agent") == ANY_AGENT)
+    return F.coalesce(own, any_, F.lit(DEFAULT_DELAY))
+
+
+def _prefixes(agent: str) -> Column:
+    disallow = F.col("directive") == DISALLOW
+    own = F.collect_set(F.when(disallow & (F.col("agent") == agent), F.col("value")))
+    any_ = F.collect_set(F.when(disallow & (F.col("agent") == ANY_AGENT), F.col("value")))
+    return F.when(F.size(own) > 0, own).otherwise(any_)
+
+
 def effective_delay(rules: DataFrame, agent: str) -> DataFrame:
     """``host, crawl_delay``: the agent's own delay, else that of ``*``, else the default."""
-    own = _last_delay(F.col("agent") == agent)
-    any_ = _last_delay(F.col("agent") == ANY_AGENT)
-    return rules.groupBy("host").agg(
-        F.coalesce(own, any_, F.lit(DEFAULT_DELAY)).alias("crawl_delay"))
+    return _per_host(rules).agg(_delay(agent).alias("crawl_delay")).select("host", "crawl_delay")
 
 
 def effective_disallow(rules: DataFrame, agent: str) -> DataFrame:
     """``host, prefixes``: the agent's own disallow values if it has any, else those of ``*``."""
-    own = F.collect_set(F.when(F.col("agent") == agent, F.col("value")))
-    any_ = F.collect_set(F.when(F.col("agent") == ANY_AGENT, F.col("value")))
-    return (rules.where((F.col("directive") == DISALLOW) & F.col("agent").isin(agent, ANY_AGENT))
-            .groupBy("host").agg(F.when(F.size(own) > 0, own).otherwise(any_).alias("prefixes")))
+    used = rules.where((F.col("directive") == DISALLOW) & F.col("agent").isin(agent, ANY_AGENT))
+    return _per_host(used).agg(_prefixes(agent).alias("prefixes")).select("host", "prefixes")
+
+
+def host_policy(rules: DataFrame, agent: str) -> DataFrame:
+    """``host, prefixes, crawl_delay``: both of the above, from one pass over the rules."""
+    return _per_host(rules).agg(
+        _prefixes(agent).alias("prefixes"), _delay(agent).alias("crawl_delay")).select(
+        "host", "prefixes", "crawl_delay")
+
+
+def tested_text(url: Column, match_on: str) -> Column:
+    """What disallow values are compared with: the path or the full URL, with a ``/`` added.
+
+    Text that starts with a value still does with the ``/``, so one test covers both forms.
+    """
+    if match_on not in ("path", "url"):
+        raise ValueError("match_on is 'path' or 'url'")
+    return F.concat(path_of(url) if match_on == "path" else url, F.lit("/"))
+
+
+def is_excluded(tested: str, prefixes: str, match_on: str) -> Column:
+    """Whether column ``tested`` starts with one of ``prefixes``; empty ones do not count for paths."""
+    hit = F.exists(prefixes, lambda p: F.col(tested).startswith(p) & ((p != "") | F.lit(match_on == "url")))
+    return F.coalesce(hit, F.lit(False))
 
 
 def allowed(frontier: DataFrame, rules: DataFrame, agent: str, match_on: str = "path") -> DataFrame:
@@ -107,14 +146,6 @@ def allowed(frontier: DataFrame, rules: DataFrame, agent: str, match_on: str = "
     prefixes per host is looked up, so URLs and rules are never paired in a shuffle; the tested text
     is made before the join, once per URL and not once per prefix.
     """
-    if match_on not in ("path", "url"):
-        raise ValueError("match_on is 'path' or 'url'")
-    prefixes = effective_disallow(rules, agent)
-    target = F.col("url")
-    if match_on == "path":
-        target = path_of(F.col("url"))
-        prefixes = prefixes.select("host", F.array_remove("prefixes", "").alias("prefixes"))
-    slashed = frontier.withColumn("slashed", F.concat(target, F.lit("/")))
-    hit = F.exists("prefixes", lambda p: F.col("slashed").startswith(p))
-    return (slashed.join(prefixes, "host", "left")
-            .where(~F.coalesce(hit, F.lit(False))).select(*frontier.columns))
+    tested = frontier.withColumn("tested", tested_text(F.col("url"), match_on))
+    return (tested.join(effective_disallow(rules, agent), "host", "left")
+            .where(~is_excluded("tested", "prefixes", match_on)).select(*frontier.columns))

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.functions.urls import host_of
 from linkgraph.operators.frontier import (
-    BYTES_PER_MB, admit, pop_due, register_hosts, route_fetches, schedule, with_host_state)
+    BYTES_PER_MB, admit, pop_due, registered, route_fetches, schedule)
 from linkgraph.operators.pages import candidate_urls
-from linkgraph.operators.robots import allowed
+from linkgraph.operators.robots import host_policy, is_excluded, tested_text
 from linkgraph.operators.tables import upsert
 from linkgraph.session import checkpointed
 
@@ -33,7 +33,8 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
 
     Redirect targets and page links go through the same admission, redirects first; a redirect
     keeps the time of the host that sent it. Due URLs of hosts not known yet enter the host and wait
-    for its delay. The admitted URLs, which three later branches read, are written once.
+    for its delay. The admitted URLs, which three later branches read, are written once. All that is
+    known of a host is brought together first, so that due URLs are joined by host once.
     """
     routed = route_fetches(fetch_log, host_state, max_bytes)
     redirects = routed.where(F.col("action") == "redirect").select(
@@ -52,15 +53,15 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
         new.where(F.col("kind") == 0).select(*FRONTIER_COLUMNS))
     waiting = upsert(frontier.select(*FRONTIER_COLUMNS), additions, "url")
     ready, rest = pop_due(waiting, now_ms)
-    checked = with_host_state(ready.withColumnRenamed("next_request_ms", "due_ms"), host_state)
-    checked = checked.select("url", "host", F.col("due_ms").alias("next_request_ms"), "needs_robots")
-    unknown = checked.where("needs_robots").select(*FRONTIER_COLUMNS)
-    known = checked.where(~F.col("needs_robots")).select(*FRONTIER_COLUMNS)
-    entered = register_hosts(unknown, robots_rules, now_ms, agent)
-    fetch = routed.where(F.col("action") == "fetch").select("url", "content_type", "next_request_ms")
+    hosts = checkpointed(host_state.select("host", F.lit(True).alias("known")).join(
+        host_policy(robots_rules, agent), "host", "full_outer"))
+    checked = ready.withColumn("tested", tested_text(F.col("url"), match_on)).join(hosts, "host", "left")
+    excluded = is_excluded("tested", "prefixes", match_on)
+    entered = registered(
+        checked.where(F.col("known").isNull()).select("url", "host", "crawl_delay"), now_ms)
     return Round(
-        fetch,
-        allowed(known, robots_rules, agent, match_on),
+        routed.where(F.col("action") == "fetch").select("url", "content_type", "next_request_ms"),
+        checked.where(F.col("known") & ~excluded).select(*FRONTIER_COLUMNS),
         rest.unionByName(entered.requeued.select(*FRONTIER_COLUMNS)),
         seen,
         scheduled.host_state.unionByName(entered.new_hosts.select(*host_state.columns)))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import linkgraph as lg
+from linkgraph.session import checkpointed
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -36,8 +37,8 @@ def urls(spark):
 
 @pytest.fixture
 def hosts(urls):
-    return urls.select("host").distinct().select(
-        "host", F.lit(1.5).alias("crawl_delay"), F.lit(1000).cast("bigint").alias("next_request_ms"))
+    return checkpointed(urls.select("host").distinct().select(
+        "host", F.lit(1.5).alias("crawl_delay"), F.lit(1000).cast("bigint").alias("next_request_ms")))
 
 
 def rules(hosts):
@@ -63,7 +64,7 @@ def test_robots_test_is_split(urls, hosts):
 
 
 def test_registration_is_split(urls, hosts):
-    count, skewed = split(lg.register_hosts(urls, rules(hosts).limit(0), 5, "bot").requeued)
+    count, skewed = split(lg.register_hosts(urls, rules(hosts), 5, "bot").requeued)
     assert (count, skewed) == (60_000, True)
 
 
@@ -87,3 +88,15 @@ def test_weighted_edges_of_a_hub_are_split(spark):
     edges = spark.range(0, 90_000, numPartitions=8).select(
         src.alias("src"), F.sha1(F.col("id").cast("string")).alias("dst"))
     assert split(lg.weighted_edges(edges)) == (90_000, True)
+
+
+def test_a_round_joins_due_urls_by_host_once(spark, urls, hosts):
+    waiting = checkpointed(urls.select("url", "host", F.lit(0).cast("bigint").alias("next_request_ms")))
+    no_log = spark.createDataFrame(
+        [], "url string, status int, content_type string, content_length bigint, location string")
+    no_pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    result = lg.frontier_round(no_log, no_pages, waiting, waiting.select("url"), hosts, rules(hosts), 5, "bot")
+    count, skewed = split(result.due)
+    kept = urls.where(~F.substring_index("url", "/", -1).rlike("^[0f]")).count()
+    assert (count, skewed) == (kept, True)
+    assert "prefixes" in result.due._jdf.queryExecution().executedPlan().toString()
