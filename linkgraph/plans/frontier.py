@@ -33,8 +33,9 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
 
     Redirect targets and page links go through the same admission, redirects first; a redirect
     keeps the time of the host that sent it. Due URLs of hosts not known yet enter the host and wait
-    for its delay. The admitted URLs, which three later branches read, are written once. All that is
-    known of a host is brought together first, so that due URLs are joined by host once.
+    for its delay. The admitted URLs and the outcome of the round, which several branches read, are
+    written once to the checkpoint folder. All that is known of a host is brought together first, so
+    that due URLs are joined by host once.
     """
     routed = route_fetches(fetch_log, host_state, max_bytes)
     redirects = routed.where(F.col("action") == "redirect").select(
@@ -56,12 +57,18 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
     hosts = checkpointed(host_state.select("host", F.lit(True).alias("known")).join(
         host_policy(robots_rules, agent), "host", "full_outer"))
     checked = ready.withColumn("tested", tested_text(F.col("url"), match_on)).join(hosts, "host", "left")
-    excluded = is_excluded("tested", "prefixes", match_on)
+    state = (F.when(F.col("known").isNull(), "unknown")
+             .when(is_excluded("tested", "prefixes", match_on), "excluded").otherwise("due"))
+    outcome = checkpointed(
+        checked.select(*FRONTIER_COLUMNS, "crawl_delay", state.alias("state")).unionByName(
+            rest.select(*FRONTIER_COLUMNS, F.lit(None).cast("double").alias("crawl_delay"),
+                        F.lit("queued").alias("state"))))
     entered = registered(
-        checked.where(F.col("known").isNull()).select("url", "host", "crawl_delay"), now_ms)
+        outcome.where(F.col("state") == "unknown").select("url", "host", "crawl_delay"), now_ms)
+    queued = outcome.where(F.col("state") == "queued").select(*FRONTIER_COLUMNS)
     return Round(
         routed.where(F.col("action") == "fetch").select("url", "content_type", "next_request_ms"),
-        checked.where(F.col("known") & ~excluded).select(*FRONTIER_COLUMNS),
-        rest.unionByName(entered.requeued.select(*FRONTIER_COLUMNS)),
+        outcome.where(F.col("state") == "due").select(*FRONTIER_COLUMNS),
+        queued.unionByName(entered.requeued.select(*FRONTIER_COLUMNS)),
         seen,
         scheduled.host_state.unionByName(entered.new_hosts.select(*host_state.columns)))

@@ -90,13 +90,7 @@ def test_weighted_edges_of_a_hub_are_split(spark):
     assert split(lg.weighted_edges(edges)) == (90_000, True)
 
 
-def test_a_round_joins_due_urls_by_host_once(spark, urls, hosts):
-    waiting = checkpointed(urls.select("url", "host", F.lit(0).cast("bigint").alias("next_request_ms")))
-    no_log = spark.createDataFrame(
-        [], "url string, status int, content_type string, content_length bigint, location string")
-    no_pages = spark.createDataFrame([], "page_id bigint, url string, html string")
-    result = lg.frontier_round(no_log, no_pages, waiting, waiting.select("url"), hosts, rules(hosts), 5, "bot")
-    count, skewed = split(result.due)
-    kept = urls.where(~F.substring_index("url", "/", -1).rlike("^[0f]")).count()
-    assert (count, skewed) == (kept, True)
-    assert "prefixes" in result.due._jdf.queryExecution().executedPlan().toString()
+def test_urls_with_all_host_facts_are_split(urls, hosts):
+    facts = checkpointed(hosts.select("host").join(
+        lg.operators.robots.host_policy(rules(hosts), "bot"), "host", "full_outer"))
+    assert split(urls.join(facts, "host", "left").select("url", "prefixes")) == (60_000, True)
