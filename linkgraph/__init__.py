@@ -21,7 +21,7 @@ from linkgraph.sources.links import read_links, write_links
 from linkgraph.sources.ranks import (
     read_rank_state, read_rank_states, write_rank_state, write_ranks)
 from linkgraph.sources.urls import (
-    files_to_copy, read_settled, read_url_batch, seeds, stream_url_batches)
+    append_seen, files_to_copy, read_settled, read_url_batch, seeds, stream_url_batches)
 from linkgraph.streaming.admit import arrivals_per_window, stream_admit
 from linkgraph.streaming.due import start_due
 from linkgraph.streaming.schedule import start_schedule

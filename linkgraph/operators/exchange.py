@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.functions.buckets import host_bucket
 from linkgraph.functions.urls import host_of
+from linkgraph.operators.skew import balanced_by
 
 
 def urls_per_node(outputs: DataFrame, n: int) -> DataFrame:
@@ -23,13 +24,10 @@ def urls_per_node(outputs: DataFrame, n: int) -> DataFrame:
             .select("page_id", "node", batch.alias("urls")))
 
 
-def write_exchange(links: DataFrame, path: str, n: int, files_per_node: int = 1,
-                   mode: str = "error") -> None:
+def write_exchange(links: DataFrame, path: str, n: int, mode: str = "error") -> None:
     """Write URLs (``url``) as text, one folder per owning node.
 
-    URLs are spread by node and a hash, so that a hot node is written by several tasks.
+    Rows are brought together by node, but adaptive execution cuts a large node into several files.
     """
-    spread = F.pmod(F.xxhash64("url"), F.lit(files_per_node))
-    (links.select(host_bucket(host_of(F.col("url")), n).alias("node"), "url")
-     .repartition("node", spread)
-     .write.mode(mode).partitionBy("node").text(path))
+    routed = links.select(host_bucket(host_of(F.col("url")), n).alias("node"), "url")
+    balanced_by(routed, "node").write.mode(mode).partitionBy("node").text(path)

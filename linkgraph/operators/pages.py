@@ -36,7 +36,8 @@ def _parsed_hrefs(html: str | None) -> list[str]:
 def with_hrefs(pages: DataFrame, exact: bool = False) -> DataFrame:
     """Add ``hrefs``; ``exact`` runs a full HTML parser in Python instead of native expressions."""
     if not exact:
-        return pages.withColumn("hrefs", anchor_hrefs(F.col("html")))
+        none = F.array().cast("array<string>")
+        return pages.withColumn("hrefs", F.coalesce(anchor_hrefs(F.col("html")), none))
 
     def parse(batches):
         for batch in batches:

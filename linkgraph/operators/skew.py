@@ -32,3 +32,8 @@ def with_slot(rows: DataFrame, order_col: str, splits: list[float]) -> DataFrame
     numbered = rows.withColumn("slot_value", F.col(order_col).cast("double"))
     return (Bucketizer(splits=bounds, inputCol="slot_value", outputCol="slot").transform(numbered)
             .withColumn("slot", F.coalesce(F.col("slot").cast("int"), F.lit(-1))).drop("slot_value"))
+
+
+def balanced_by(rows: DataFrame, column: str) -> DataFrame:
+    """Bring equal values of ``column`` together before a write, with hot values cut to size."""
+    return rows.sparkSession.sql(f"SELECT /*+ REBALANCE(`{column}`) */ * FROM {{rows}}", rows=rows)

@@ -45,3 +45,12 @@ def files_to_copy(local: DataFrame, dest: DataFrame, now_ms: int,
 def read_settled(spark: SparkSession, path: str, modified_before: str, format: str = "text") -> DataFrame:
     """Read the files of a folder last modified before a UTC time such as ``2024-05-01T12:00:00``."""
     return spark.read.format(format).option("modifiedBefore", modified_before).load(path)
+
+
+def append_seen(new: DataFrame, table: str, buckets: int) -> None:
+    """Add URLs to a seen table bucketed by URL.
+
+    With as many buckets as shuffle partitions, admission joins the table without shuffling it.
+    """
+    (new.select("url").repartition(buckets, "url")
+     .write.mode("append").bucketBy(buckets, "url").sortBy("url").saveAsTable(table))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from linkgraph.operators.pages import crawl_outputs, page_links
+from linkgraph.operators.skew import balanced_by
 from linkgraph.streaming.admit import ROTATION
 
 
@@ -32,7 +33,7 @@ def with_rolling_window(rows: DataFrame, ts: str = "ts", every: str = ROTATION)
 def write_rolled(rows: DataFrame, path: str, ts: str = "ts", every: str = ROTATION,
                  mode: str = "error") -> None:
     """Batch twin of the rolling sink: one folder per window."""
-    with_rolling_window(rows, ts, every).write.mode(mode).partitionBy("window_start").parquet(path)
+    balanced_by(with_rolling_window(rows, ts, every), "window_start").write.mode(mode).partitionBy("window_start").parquet(path)
 
 
 def start_crawl_outputs(pages: DataFrame, path: str, checkpoint: str, every: str = ROTATION,

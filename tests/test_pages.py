@@ -51,11 +51,11 @@ def test_normalise(spark):
 
 def test_outputs_keep_pages_without_links(spark):
     df = pages(spark, (1, "http://h.org/a/b?x", ' <a href="c"><a href="/d"><a href="tel:1"><a href="c">\r\n'),
-               (2, "https://k.org", "<p>no links</p>"))
+               (2, "https://k.org", "<p>no links</p>"), (3, "https://k.org/3", None))
     got = {r.page_id: (r.body, r.targets) for r in crawl_outputs(df).collect()}
     assert got[1][1] == ["http://h.org/a/b/c", "http://h.org/d", "http://h.org/a/b/c"]
     assert got[1][0].endswith('<a href="c">')
-    assert got[2] == ("<p>no links</p>", [])
+    assert got[2] == ("<p>no links</p>", []) and got[3] == (None, [])
 
 
 def test_candidates_are_web_urls(spark):
@@ -71,7 +71,7 @@ def test_routing_keeps_page_order(spark, tmp_path):
     for urls in batches.values():
         assert urls == [u for u in targets if u in urls]
     path = str(tmp_path / "exchange")
-    write_exchange(df.select(F.explode("targets").alias("url")), path, 3, files_per_node=2)
+    write_exchange(df.select(F.explode("targets").alias("url")), path, 3)
     written = spark.read.text(path)
     assert {r.node for r in written.collect()} == set(batches)
     assert sorted(r.value for r in written.collect()) == sorted(targets)

@@ -94,3 +94,22 @@ def test_urls_with_all_host_facts_are_split(urls, hosts):
     facts = checkpointed(hosts.select("host").join(
         lg.operators.robots.host_policy(rules(hosts), "bot"), "host", "full_outer"))
     assert split(urls.join(facts, "host", "left").select("url", "prefixes")) == (60_000, True)
+
+
+def test_a_hot_node_is_written_as_several_files(spark, urls, tmp_path):
+    path = str(tmp_path / "exchange")
+    lg.write_exchange(urls, path, 3)
+    assert spark.read.text(path).count() == 60_000
+    files = [len(list((tmp_path / "exchange").glob(f"node={n}/*.txt"))) for n in range(3)]
+    assert max(files) > 3 and sum(files) < 8 * 12
+
+
+def test_a_bucketed_seen_table_is_not_shuffled(spark, urls):
+    spark.sql("DROP TABLE IF EXISTS seen_urls")
+    lg.append_seen(urls.where("arrival < 30000"), "seen_urls", 12)
+    lg.append_seen(urls.where("arrival between 30000 and 30999"), "seen_urls", 12)
+    seen = spark.table("seen_urls")
+    new = lg.admit(urls, seen, "arrival").new
+    assert new.count() == 29_000
+    assert new._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+    spark.sql("DROP TABLE seen_urls")
