@@ -14,7 +14,7 @@ from linkgraph.functions.urls import host_of, url_parts
 from linkgraph.operators.edges import edge_pairs
 from linkgraph.operators.ranking import contributions
 from linkgraph.operators.skew import order_splits
-from linkgraph.session import scratch_path
+from linkgraph.session import checkpointed, scratch_path
 from linkgraph.sources.documents import read_documents, write_documents
 from linkgraph.sources.links import link_lines, parse_links, write_links
 from linkgraph.sources.urls import distinct_urls, files_to_copy, split_seeds
@@ -164,8 +164,9 @@ def pagerank_init_parts(spark, sf):
 @query
 def pagerank_contributions_events(spark, sf):
     graph = lg.link_graph(load(spark, sf, "event_edges"))
-    return contributions(lg.initial_state(graph), graph).select(
-        F.col("dst").alias("node"), rounded("received"))
+    received = checkpointed(contributions(lg.initial_state(graph), graph))
+    graph.release()
+    return received.select(F.col("dst").alias("node"), rounded("received"))
 
 
 def ranked(edges: DataFrame, steps: int, **options) -> DataFrame:
@@ -467,45 +468,40 @@ def link_files_round_trip(spark, sf):
     return lg.to_edges(spark.read.parquet(path))
 
 
-# Streams: each runs over files of the table until all are read
+# Streams: the table arrives in three parts, and the query goes on after each
 
 
-def file_stream(df: DataFrame, order_col: str, slices: int = 3) -> DataFrame:
-    """``df`` as a stream of several batches in order of ``order_col``."""
+def replay(df: DataFrame, order_col: str, start: Callable[[DataFrame], object], parts: int = 3) -> None:
+    """Let ``df`` arrive in parts in order of ``order_col``, one batch each, and run a stream over it."""
     spark = df.sparkSession
-    path = scratch_path(spark, "stream")
-    bounds = df.approxQuantile(order_col, [i / slices for i in range(1, slices)], 0.01)
-    lows, highs = [None, *bounds], [*bounds, None]
-    for low, high in zip(lows, highs):
+    path = scratch_path(spark, "arriving")
+    bounds = df.approxQuantile(order_col, [i / parts for i in range(1, parts)], 0.01)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2**31 - 1)
+    for low, high in zip([None, *bounds], [*bounds, None]):
         rows = df if low is None else df.where(F.col(order_col) > low)
         rows = rows if high is None else rows.where(F.col(order_col) <= high)
-        rows.repartition(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def finished(query) -> None:
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+        rows.write.mode("append").parquet(path)
+        running = start(stream.parquet(path))
+        running.awaitTermination()
 
 
 @query
 def stream_admit(spark, sf):
-    arrivals = file_stream(load(spark, sf, "arrivals").select("url", "arrival"), "arrival")
+    arrivals = load(spark, sf, "arrivals").select("url", "arrival")
     seen = load(spark, sf, "arrivals").where(F.col("url").endswith("7")).select("url").distinct()
     path = scratch_path(spark, "admit")
-    finished(lg.start_rolling_sink(
-        lg.stream_admit(arrivals.select("url"), seen), f"{path}/out", f"{path}/state", available_now=True))
+    replay(arrivals, "arrival", lambda stream: lg.start_rolling_sink(
+        lg.stream_admit(stream.select("url"), seen), f"{path}/out", f"{path}/state", available_now=True))
     return spark.read.parquet(f"{path}/out")
 
 
 @query
 def stream_schedule(spark, sf):
     new = lg.first_occurrence(load(spark, sf, "arrivals"), "arrival")
+    hosts = load(spark, sf, "arrival_hosts")
     path = scratch_path(spark, "schedule")
-    finished(lg.start_schedule(
-        file_stream(new, "arrival"), load(spark, sf, "arrival_hosts"), path, f"{path}/state",
-        snapshot_every=2, available_now=True))
+    replay(new, "arrival", lambda stream: lg.start_schedule(
+        stream, hosts, path, f"{path}/state", snapshot_every=2, available_now=True))
     return spark.read.parquet(f"{path}/frontier").drop("batch")
 
 
@@ -513,8 +509,8 @@ def stream_schedule(spark, sf):
 def stream_rolling_files(spark, sf):
     events = load(spark, sf, "events").select("event_id", "ts", "event_type")
     path = scratch_path(spark, "rolling")
-    finished(lg.start_rolling_sink(
-        file_stream(events, "event_id"), f"{path}/out", f"{path}/state", available_now=True))
+    replay(events, "event_id", lambda stream: lg.start_rolling_sink(
+        stream, f"{path}/out", f"{path}/state", available_now=True))
     return spark.read.parquet(f"{path}/out").select("event_id", "event_type")
 
 
@@ -524,25 +520,25 @@ def rolled_windows(spark, sf):
     return windows.select("event_id", as_text("window_start"))
 
 
+def crawled(spark, sf) -> str:
+    path = scratch_path(spark, "crawl")
+    replay(load(spark, sf, "pages"), "page_id", lambda stream: lg.start_crawl_outputs(
+        stream, path, f"{path}/state", available_now=True))
+    return path
+
+
 @query
 def stream_crawl_links(spark, sf):
-    path = scratch_path(spark, "crawl")
-    finished(lg.start_crawl_outputs(
-        file_stream(load(spark, sf, "pages"), "page_id"), path, f"{path}/state", available_now=True))
-    return spark.read.parquet(f"{path}/links").select("source", joined("targets"))
+    return spark.read.parquet(f"{crawled(spark, sf)}/links").select("source", joined("targets"))
 
 
 @query
 def stream_crawl_documents(spark, sf):
-    path = scratch_path(spark, "crawl")
-    finished(lg.start_crawl_outputs(
-        file_stream(load(spark, sf, "pages"), "page_id"), path, f"{path}/state", available_now=True))
-    return spark.read.parquet(f"{path}/documents").select("url", "body")
+    return spark.read.parquet(f"{crawled(spark, sf)}/documents").select("url", "body")
 
 
-# How far the clock of the due stream goes on per batch, and its horizon.
+# How far the clock of the due stream goes on per batch.
 DUE_STEP_MS = 40_000
-DUE_HORIZON_MS = 2000
 
 
 @query
@@ -550,20 +546,18 @@ def stream_due(spark, sf):
     """URLs released by a clock that moves on by 40 s per batch."""
     frontier = load(spark, sf, "frontier").select("url", "host", "next_request_ms")
     path = scratch_path(spark, "due")
-    finished(lg.start_due(
-        file_stream(frontier, "next_request_ms"), path, f"{path}/state",
-        clock=lambda batch_id: NOW_MS + batch_id * DUE_STEP_MS, slot_ms=5000, available_now=True))
+    replay(frontier, "next_request_ms", lambda stream: lg.start_due(
+        stream, path, f"{path}/state", clock=lambda batch_id: NOW_MS + batch_id * DUE_STEP_MS,
+        slot_ms=5000, available_now=True))
     return spark.read.parquet(f"{path}/due").select("url", "next_request_ms")
 
 
 @query
 def arrivals_per_window(spark, sf):
-    events = file_stream(load(spark, sf, "events").select("ts", "event_id"), "event_id")
+    events = load(spark, sf, "events").select("ts", "event_id")
     path = scratch_path(spark, "windows")
-    counts = lg.arrivals_per_window(events)
-    finished(counts.writeStream.outputMode("complete").foreachBatch(
-        lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/out"))
-        .option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start())
-    return spark.read.parquet(f"{path}/out").select(
-        as_text("window_start"),
-        as_text("window_end"), "n")
+    replay(events, "event_id", lambda stream: (
+        lg.arrivals_per_window(stream).writeStream.outputMode("complete")
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/out"))
+        .option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()))
+    return spark.read.parquet(f"{path}/out").select(as_text("window_start"), as_text("window_end"), "n")

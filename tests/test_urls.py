@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkgraph.functions.buckets import host_bucket
-from linkgraph.functions.urls import absolute_url, dotdot_count, resolve_url, resolve_urls, url_parts
+from linkgraph.functions.urls import absolute_url, dotdot_count, is_legal, resolve_url, resolve_urls, url_parts
 from linkgraph.operators.frontier import drop_trap_urls
 
 RESOLVED = [
@@ -79,6 +79,24 @@ def test_absolute_urls_agree_with_the_jdk(spark):
     assert wrong == {}
 
 
+def test_link_syntax_agrees_with_the_jdk(spark):
+    rng = random.Random(8)
+    pieces = ["a", "B-c", ":", "//", "/", "h.org", "_", "@", ":80", "?", "#", "%41", "%4g", "[", "]", "[::1]", " ", "|",
+              "é", ",", "..", "1", "=", "&", "\u00a0", "\u0085", "\x7f", "+", "'", ";", "http:", "mailto:", "$", "^"]
+    links = sorted({"".join(rng.choices(pieces, k=rng.randint(0, 5))) for _ in range(1500)})
+
+    def legal(link):
+        try:
+            spark._jvm.java.net.URI(link)
+            return True
+        except Exception:
+            return False
+
+    df = spark.createDataFrame([(link,) for link in links], "link string")
+    got = {r.link: r.ok for r in df.select("link", is_legal(F.col("link")).alias("ok")).collect()}
+    assert {link: got[link] for link in links if got[link] != legal(link)} == {}
+
+
 def test_parts(spark):
     df = spark.createDataFrame([("HTTP://u@A_b.Org:80/x/y?q#f",), ("http://h.org",), ("mailto:x@y",), ("https://[::1]:8/p",)], "url string")
     got = [tuple(r.p) for r in df.select(url_parts(F.col("url")).alias("p")).collect()]
