@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.inputs import AGENT, BASE_MS, MAX_BYTES, NOW_MS, with_inputs
+from catalog.inputs import AGENT, MAX_BYTES, NOW_MS, with_inputs
 from linkgraph.functions.html import ANCHOR_HREF, NOT_MARKUP
 from linkgraph.functions.urls import (
     BRACKET_BEFORE_QUERY, EMPTY_AUTHORITY, HOST, ILL_FORMED, IPV6_HOST, OPAQUE, PATH, SCHEME)

@@ -80,7 +80,11 @@ def page_links(outputs: DataFrame) -> DataFrame:
 
 
 def candidate_urls(pages: DataFrame, exact: bool = False) -> DataFrame:
-    """Fetchable links of pages: ``page_id, ord, url, host``, with ``ord`` among the usable links."""
-    targets = crawl_outputs(pages, exact).select(
+    """Fetchable links of pages: ``page_id, ord, url, host``, with ``ord`` among the usable links.
+
+    Pages that already have ``targets`` are not parsed again.
+    """
+    outputs = pages if "targets" in pages.columns else crawl_outputs(pages, exact)
+    targets = outputs.select(
         "page_id", F.posexplode("targets").alias("ord", "url"))
     return targets.where(is_web_url(F.col("url"))).withColumn("host", host_of(F.col("url")))

@@ -31,6 +31,7 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
                    max_bytes: int = BYTES_PER_MB, match_on: str = "path") -> Round:
     """Route responses, admit and schedule new URLs, and take out what is due and allowed.
 
+    ``pages`` holds HTML, or the ``targets`` that ``crawl_outputs`` already made of it.
     Redirect targets and page links go through the same admission, redirects first; a redirect
     keeps the time of the host that sent it. Due URLs of hosts not known yet enter the host and wait
     for its delay. The admitted URLs and the outcome of the round, which several branches read, are
@@ -45,8 +46,8 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
     links = candidate_urls(pages).select(
         "url", "host", F.lit(1).alias("kind"), "page_id", "ord",
         F.lit(None).cast("bigint").alias("next_request_ms"))
-    new, seen = admit(redirects.unionByName(links), seen, "kind", "page_id", "ord", "next_request_ms")
-    new = checkpointed(new)
+    candidates = redirects.unionByName(links)
+    new = checkpointed(admit(candidates, seen, "kind", "page_id", "ord", "next_request_ms").new)
     scheduled = schedule(
         new.where(F.col("kind") == 1).select("url", "host", "page_id", "ord"),
         host_state, "page_id", "ord")
@@ -70,5 +71,5 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
         routed.where(F.col("action") == "fetch").select("url", "content_type", "next_request_ms"),
         outcome.where(F.col("state") == "due").select(*FRONTIER_COLUMNS),
         queued.unionByName(entered.requeued.select(*FRONTIER_COLUMNS)),
-        seen,
+        seen.select("url").unionByName(new.select("url")),
         scheduled.host_state.unionByName(entered.new_hosts.select(*host_state.columns)))

@@ -44,7 +44,8 @@ def start_crawl_outputs(pages: DataFrame, path: str, checkpoint: str, every: str
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         outputs = crawl_outputs(batch)
-        outputs.select("url", "body").write.mode("overwrite").parquet(f"{path}/documents/batch={batch_id}")
+        outputs.select("url", "body").write.mode("overwrite").parquet(
+            f"{path}/documents/batch={batch_id}")
         page_links(outputs).write.mode("overwrite").parquet(f"{path}/links/batch={batch_id}")
 
     return (pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

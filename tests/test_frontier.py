@@ -170,5 +170,6 @@ def test_round(spark):
     assert {tuple(r) for r in result.host_state.collect()} == {
         ("h.org", 2.0, 1_004_000), ("k.org", 1.0, 1_000_000), ("new.org", 4.0, 1_007_000)}
     assert result.seen.count() == 6
-    again = lg.frontier_round(log, pages, result.frontier, result.seen, result.host_state, rules, NOW, "bot")
+    parsed = lg.crawl_outputs(pages).select("page_id", "targets")
+    again = lg.frontier_round(log, parsed, result.frontier, result.seen, result.host_state, rules, NOW, "bot")
     assert again.due.count() == 0 and again.seen.count() == 6
