@@ -162,6 +162,12 @@ twin("seed_urls", """
 result AS (SELECT unnest([url, url || '/a', url || '/b']) AS url FROM pages)""")
 twin("distinct_url_batch", "result AS (SELECT DISTINCT url FROM arrivals)", "arrivals")
 
+twin("url_batch_candidates", """
+result AS (
+  SELECT url, split_part(url, '/', 3) AS host FROM pages
+  UNION ALL SELECT replace(url, '://', '://u@'), split_part(url, '/', 3) FROM pages
+  UNION ALL SELECT 'HTTP://H.org:8080/' || page_id, 'H.org' FROM pages)""")
+
 # Edges and ranks
 
 twin("page_edges", f"{PAGE_LINKS}, result AS (SELECT url AS src, link AS dst FROM good_links WHERE url <> link)")

@@ -127,6 +127,16 @@ def distinct_url_batch(spark, sf):
     return distinct_urls(padded)
 
 
+@query
+def url_batch_candidates(spark, sf):
+    """Page URLs in shapes of which some can be fetched."""
+    shapes = F.array(
+        F.col("url"), F.replace("url", F.lit("://"), F.lit("://u@")), F.concat(F.lit("mailto:"), F.col("url")),
+        F.concat(F.lit("ftp://x.org/"), F.col("page_id")), F.concat(F.lit("HTTP://H.org:8080/"), F.col("page_id")),
+        F.concat(F.lit("http://h.org:port/"), F.col("page_id")), F.concat(F.lit("/"), F.col("page_id")))
+    return lg.url_candidates(load(spark, sf, "pages").select(F.explode(shapes).alias("url")))
+
+
 # Edges and ranks
 
 

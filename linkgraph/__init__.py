@@ -4,7 +4,7 @@ from linkgraph.operators.edges import drop_self_links, to_edges, weighted_edges
 from linkgraph.operators.exchange import urls_per_node, write_exchange
 from linkgraph.operators.frontier import (
     admit, drop_trap_urls, due, first_occurrence, pop_due, pop_earliest, pull_batch, register_hosts,
-    route_fetches, schedule, with_host_state)
+    route_fetches, schedule, url_candidates, with_host_state)
 from linkgraph.operators.pages import (
     candidate_urls, crawl_outputs, extract_links, page_links, resolve_links)
 from linkgraph.operators.ranking import (

@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from linkgraph.functions.urls import absolute_url, dotdot_count, host_of
+from linkgraph.functions.urls import LINK_URL, absolute_url, dotdot_count, host_of, is_web_url
 from linkgraph.operators.robots import DEFAULT_DELAY, effective_delay
 from linkgraph.operators.skew import order_splits, with_slot
 
@@ -48,6 +48,12 @@ def drop_trap_urls(urls: DataFrame, max_dotdot: int = MAX_DOTDOT) -> DataFrame:
     return urls.where(dotdot_count(F.col("url")) < max_dotdot)
 
 
+def url_candidates(urls: DataFrame) -> DataFrame:
+    """URLs of a batch that can be fetched, with their ``host``; other schemes and bad ports go."""
+    url = F.col("url")
+    return urls.where(is_web_url(url) & url.rlike(LINK_URL)).withColumn("host", host_of(url))
+
+
 def first_occurrence(urls: DataFrame, *order_cols: str) -> DataFrame:
     """The earliest row of every URL; repeats are combined before the shuffle."""
     rest = [c for c in urls.columns if c != "url" and c not in order_cols]

@@ -76,6 +76,12 @@ def test_missing_order_is_kept(spark):
     assert {r.url: r.next_request_ms for r in got} == {"a": 1_002_000, "b": 1_004_000, "c": 1_006_000}
 
 
+def test_candidates(spark):
+    urls = ["http://u@h.org:80/x", "HTTPS://K.org", "mailto:a@b", "ftp://h/", "http://h:port/", "/x", "nothing", ""]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [tuple(r) for r in lg.url_candidates(df).collect()] == [(urls[0], "h.org"), (urls[1], "K.org")]
+
+
 def test_first_occurrence(spark):
     rows = [("u", 3, "x"), ("u", 1, "y"), ("v", 2, "z")]
     df = spark.createDataFrame(rows, "url string, arrival int, tag string")

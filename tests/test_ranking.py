@@ -153,3 +153,20 @@ def test_contributions_are_summed_before_the_shuffle(spark):
     assert df.first()["received"] == 2000.0
     assert "partial_sum" in df._jdf.queryExecution().executedPlan().toString()
     graph.release()
+
+
+def test_stages_through_files(spark, tmp_path):
+    (tmp_path / "links.txt").write_text("\n".join(LINES) + "\n")
+    path = lambda name: str(tmp_path / name)
+    links = lg.read_links(spark, path("links.txt"))
+    lg.write_rank_state(lg.pagerank_init(links), path("state0"))
+    graph = lg.link_graph(lg.to_edges(links))
+    for step in (1, 2, 3):
+        state = lg.pagerank_step(lg.read_rank_state(spark, path(f"state{step - 1}")), graph)
+        lg.write_rank_state(state, path(f"state{step}"))
+    graph.release()
+    before, after = (lg.read_rank_state(spark, path(f"state{i}")) for i in (2, 3))
+    assert lg.has_converged(before, after, tol=0.21) and not lg.has_converged(before, after, tol=0.2)
+    lg.write_ranks(lg.pagerank_finish(after), path("ranks"), format="csv")
+    lines = [r.value.split("\t") for r in spark.read.text(path("ranks")).collect()]
+    assert {node: float(rank) for node, rank in lines} == pytest.approx(GOLDEN[3], abs=1e-9)
