@@ -5,8 +5,6 @@ All of a page's links come from its own row, so these are narrow projections: no
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
 from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.functions.html import anchor_hrefs
@@ -15,22 +13,27 @@ from linkgraph.functions.urls import (
     host_of, is_web_url, path_of, resolve_url, resolve_urls, scheme_of)
 
 
-class _AnchorParser(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__()
-        self.hrefs: list[str] = []
+def _href_parser():
+    """The task function of the exact mode; made here so that workers need not have this package."""
+    from html.parser import HTMLParser
+
+    class Anchors(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                self.hrefs.extend([value or "" for name, value in attrs if name == "href"][:1])
 
-    def handle_starttag(self, tag, attrs):
-        if tag == "a":
-            values = [value or "" for name, value in attrs if name == "href"]
-            self.hrefs.extend(values[:1])
+    def hrefs(html):
+        parser = Anchors()
+        parser.hrefs = []
+        parser.feed(html or "")
+        parser.close()
+        return parser.hrefs
 
+    def parse(batches):
+        for batch in batches:
+            yield batch.assign(hrefs=[hrefs(html) for html in batch["html"]])
 
-def _parsed_hrefs(html: str | None) -> list[str]:
-    parser = _AnchorParser()
-    parser.feed(html or "")
-    parser.close()
-    return parser.hrefs
+    return parse
 
 
 def with_hrefs(pages: DataFrame, exact: bool = False) -> DataFrame:
@@ -38,13 +41,8 @@ def with_hrefs(pages: DataFrame, exact: bool = False) -> DataFrame:
     if not exact:
         none = F.array().cast("array<string>")
         return pages.withColumn("hrefs", F.coalesce(anchor_hrefs(F.col("html")), none))
-
-    def parse(batches):
-        for batch in batches:
-            yield batch.assign(hrefs=[_parsed_hrefs(html) for html in batch["html"]])
-
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
-    return pages.mapInPandas(parse, f"{columns}, hrefs array<string>")
+    return pages.mapInPandas(_href_parser(), f"{columns}, hrefs array<string>")
 
 
 def extract_links(pages: DataFrame, exact: bool = False) -> DataFrame:

@@ -10,11 +10,6 @@ from linkgraph.operators.frontier import drop_trap_urls
 ROTATION = "30 seconds"
 
 
-def _drop_near_repeats(batches):
-    for batch in batches:
-        yield batch.drop_duplicates("url")
-
-
 def stream_admit(arrivals: DataFrame, seen: DataFrame | None = None,
                  watermark: tuple[str, str] | None = None) -> DataFrame:
     """Let every URL through once.
@@ -24,7 +19,11 @@ def stream_admit(arrivals: DataFrame, seen: DataFrame | None = None,
     Repeats close to each other go before the shuffle, as the stateful operator does not combine
     them and a much-repeated URL would all land in one task.
     """
-    kept = drop_trap_urls(arrivals).mapInPandas(_drop_near_repeats, arrivals.schema)
+    def drop_near_repeats(batches):
+        for batch in batches:
+            yield batch.drop_duplicates("url")
+
+    kept = drop_trap_urls(arrivals).mapInPandas(drop_near_repeats, arrivals.schema)
     if seen is not None:
         kept = kept.join(seen.select("url"), "url", "left_anti")
     if watermark is not None:

@@ -1,9 +1,15 @@
+import os
+import subprocess
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from linkgraph.functions.html import anchor_hrefs, decode_references
 from linkgraph.functions.text import normalise_body
 from linkgraph.operators.exchange import urls_per_node, write_exchange
-from linkgraph.operators.pages import candidate_urls, crawl_outputs, extract_links, resolve_links
+from linkgraph.operators.pages import (
+    _href_parser, candidate_urls, crawl_outputs, extract_links, resolve_links)
 
 HTML = """<html><a href="/1">1</a><!-- <a href="/no"> --><script>"<!--"; '<a href="/no">'</script>
 <A class='k' data-x="a>b" HREF = '/2&amp;x&#x41;&#66;'>q</A><a href>e</a><a id=q href=/3?x=1>t</a><a name=h>
@@ -75,3 +81,12 @@ def test_routing_keeps_page_order(spark, tmp_path):
     written = spark.read.text(path)
     assert {r.node for r in written.collect()} == set(batches)
     assert sorted(r.value for r in written.collect()) == sorted(targets)
+
+
+def test_workers_do_not_need_the_package(tmp_path):
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(_href_parser()))
+    code = ("import pandas as pd; from pyspark import cloudpickle; parse = cloudpickle.load(open('task', 'rb'));"
+            "print(next(parse([pd.DataFrame({'html': ['<a href=x>', None]})])).hrefs.tolist())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.stdout.strip() == "[['x'], []]", done.stderr
