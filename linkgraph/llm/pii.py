@@ -258,6 +258,10 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars")
     return out
 
 
+def _is_kind(kind: str):
+    return lambda span: F.when(span["kind"] == kind, True)
+
+
 def joined_spans(spans: Column) -> Column:
     """Spans as ``kind:start:end``, joined by commas."""
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
@@ -268,7 +272,7 @@ def span_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Per row: the counts and the hash of the plain identifiers, and all spans as text."""
     found = docs.select(id_col, personal_spans(F.col(text_col)).alias("personal"))
     plain = F.filter("personal", lambda s: ~s["added"])
-    counts = [F.size(F.filter(plain, lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
+    counts = [F.size(F.array_compact(F.transform(plain, _is_kind(kind)))).cast("bigint").alias(f"n_{kind}")
               for kind in KINDS]
     return found.select(
         id_col, *counts, F.sha2(joined_spans(plain), 256).alias("base_sha256"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkgraph.llm import language, lm_score, mixing, ngram_join, pii, toxicity
+from linkgraph.llm import embeddings, language, lm_score, mixing, ngram_join, pii, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op3_personal_data": op3_personal_data,
     "op4_source_mix": op4_source_mix,
+    "op6_embedding_duplicates": op6_embedding_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
 }
