@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkgraph.llm import embeddings, language, lm_score, mixing, ngram_join, pii, toxicity
+from linkgraph.llm import decontaminate, embeddings, language, lm_score, mixing, ngram_join, pii, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_components(table(spark, sf_dir, "embeddings"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -65,8 +70,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_source_mix": op4_source_mix,
     "op6_embedding_duplicates": op6_embedding_duplicates,
+    "op7_decontamination": op7_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _shingles_sql(table_name: str, key: str) -> str:
+    """Distinct five-word shingles of a table's texts as rows (key, s)."""
+    return f"""
+        SELECT DISTINCT {key}, unnest(CASE
+            WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+        FROM (SELECT {key}, list_filter(string_split_regex(lower(text), '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w
+              FROM {table_name})"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": f"""
+        WITH d AS ({_shingles_sql("documents", "doc_id")}), b AS ({_shingles_sql("benchmark", "item_id")}),
+        n AS (SELECT item_id, count(*) AS n_item_shingles FROM b GROUP BY item_id),
+        f AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, n_item_shingles, n_shared,
+               CAST(n_shared AS DOUBLE) / n_item_shingles AS containment
+        FROM f JOIN n USING (item_id) WHERE n_shared * 10 >= n_item_shingles * 8""",
+}
