@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkgraph.llm import decontaminate, embeddings, language, lm_score, mixing, ngram_join, pii, toxicity
+from linkgraph.llm import decontaminate, embeddings, language, licences, lm_score, mixing, ngram_join, pii, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = licences.corpus_files(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+    return licences.scan_licences(files).select(
+        F.col("file.kind").alias("kind"), F.col("file.id").alias("id"), "path", "licence", "cosine", "origin")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mix": op4_source_mix,
     "op6_embedding_duplicates": op6_embedding_duplicates,
     "op7_decontamination": op7_decontamination,
+    "op8_licences": op8_licences,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
 }
