@@ -4,19 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkgraph.llm import language, mixing, ngram_join, pii
+from linkgraph.llm import decontaminate, language, mixing, ngram_join, pii
 from linkgraph.session import scratch_path, written
 
-# A prediction below this certainty, or a text without letters, is rejected.
-LEAST_CERTAINTY = 0.0
-
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a recognisable language: no text, or no letter in it."""
+    """Drop documents without a recognisable language (no text, or no letter in it); fill in missing languages."""
     model = language.fit_language(docs)
-    found = language.predict_language(docs, model, out_col="__found")
-    certain = (F.col("__found.lang") != language.UNKNOWN) & (F.col("__found.score") >= LEAST_CERTAINTY)
-    return found.where(certain).drop("__found")
+    found = language.predict_language(docs, model, out_col="__found").where(
+        F.col("__found.lang") != language.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "__found.lang")).drop("__found")
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +21,11 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return ngram_join.first_of_components(docs, size=5, num=8, den=10)
 
 
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that contain a benchmark item: four fifths of its five-word shingles or more."""
+    return decontaminate.without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data in the texts."""
     return pii.redact(docs)
@@ -37,6 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language", keep_known_languages),
     ("near_copies", keep_first_copies),
+    ("benchmark", drop_benchmark),
     ("personal_data", redact_personal_data),
     ("mix", mix_sources),
 ]

@@ -378,17 +378,18 @@ def _numbered(base: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return with_set.union(base.where("node IS NULL").select("id", "n_shingles", F.col("id").alias("component_id")))
 
 
-def first_of_components(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``docs`` without the rows that are near copies of one with a smaller id; of repeated rows one stays.
 
-    Rows without words stay, and so do rows with a null id.
+    Rows without words stay, and so do rows with a null id. Rows that share an id but not the text are one
+    document of several texts: they stay or go together.
     """
-    found = ngram_components(docs, id_col, **settings)
+    found = ngram_components(docs, id_col, text_col, **settings)
     copies = found.where("id <> component_id").select("id").distinct().toDF("__id")
     kept = docs.join(copies, F.col(id_col) == F.col("__id"), "left_anti")
     repeated = found.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id")
     if not repeated.limit(1).count():
         return kept
     again = repeated.toDF("__id")
-    single = kept.join(again, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
+    single = kept.join(again, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col, text_col])
     return kept.join(again, F.col(id_col) == F.col("__id"), "left_anti").unionByName(single)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkgraph.llm import decontaminate, embeddings, language, licences, lm_score, mixing, ngram_join, pii, toxicity
+from linkgraph.llm import decontaminate, embeddings, language, licences, lm_score, mixing, ngram_join, pii, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,16 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit_quality(docs.where(fold(5) != 0), labels.where(fold(5) != 0))
+    return quality.score_quality(docs, model, out_col="found").select(
+        "doc_id", (fold(5) == 0).alias("held_out"), F.col("found.text").alias("text_score"),
+        F.col("found.page").alias("page_score"), F.col("found.score").alias("score"),
+        (F.col("found.score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_components(table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op3_personal_data": op3_personal_data,
     "op4_source_mix": op4_source_mix,
+    "op5_quality": op5_quality,
     "op6_embedding_duplicates": op6_embedding_duplicates,
     "op7_decontamination": op7_decontamination,
     "op8_licences": op8_licences,
