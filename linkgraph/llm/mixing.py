@@ -60,10 +60,10 @@ def few(df: DataFrame, bound: int = 100_000) -> bool:
 
 
 def with_sources(rows: DataFrame, by_source: DataFrame) -> DataFrame:
-    """Join one row per source, null being a source too; broadcast where the sources are few."""
+    """Add what is known of each row's source, null being a source too; broadcast where the sources are few."""
     right = by_source.withColumnRenamed("source", "source_of")
     right = F.broadcast(right) if few(by_source) else right
-    return rows.join(right, F.col("source").eqNullSafe(F.col("source_of"))).drop("source_of")
+    return rows.join(right, F.col("source").eqNullSafe(F.col("source_of")), "left").drop("source_of")
 
 
 def longer_preferred(size: Column) -> Column:
@@ -118,7 +118,7 @@ def pareto_mix(docs: DataFrame, targets: DataFrame, seed: int = 42, max_copies:
         (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("missing"),
         F.ceil(F.count("place") / rows_per_bin).alias("bins"))
     binned = with_sources(ranked, per_source).withColumn(
-        "bin", F.least(F.floor(F.col("place") * F.col("bins")), F.col("bins") - 1))
+        "bin", F.when(F.col("place").isNotNull(), F.least(F.floor(F.col("place") * F.col("bins")), F.col("bins") - 1)))
     order = Window.partitionBy("source").orderBy("bin")
     upto = (binned.where("bin IS NOT NULL").groupBy("source", "bin")
             .agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))

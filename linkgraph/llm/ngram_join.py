@@ -141,9 +141,9 @@ ROWS = "key bigint, name bigint, node bigint, leader bigint"
 
 def _signature_rows(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int) -> DataFrame:
     def flush(names: list, nodes: list) -> Iterator[pa.RecordBatch]:
-        if not names:
+        name, node = (np.concatenate(part) if part else np.empty(0, dtype=np.int64) for part in (names, nodes))
+        if not len(name):
             return
-        name, node = np.concatenate(names), np.concatenate(nodes)
         order = np.lexsort((node, name))
         name, node = name[order], node[order]
         new = np.concatenate([[True], (name[1:] != name[:-1]) | (node[1:] != node[:-1])])

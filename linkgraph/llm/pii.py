@@ -42,6 +42,9 @@ SPOKEN_PART = re.compile(r"\s+(at|dot)\s+", re.IGNORECASE)
 SPELLED_WORD = re.compile(r"\b(?:" + "|".join(DIGIT_WORDS) + r")\b", re.IGNORECASE)
 SPELLED_GAPS = {"": "", "-": "", ",": "", ".": ".", "dot": ".", "point": "."}
 MIN_SPELLED = 4  # digit words in a row that count as a number
+# Last labels of spoken addresses; labels that are words of running text are not among them.
+SPOKEN_ENDS = frozenset("com org net edu gov mil info biz io dev app ai eu uk de fr es nl ch pl cz se fi dk pt br "
+                        "ru ua jp cn kr au nz ca us mx ar cl".split())
 # Quick tests, on the lower-cased text, for whether a transducer has anything to do.
 BRACKETS = "[({<"
 DIGIT_ENDS = {word: tuple(word + sign for sign in " -.,\n") for word in DIGIT_WORDS}
@@ -151,7 +154,8 @@ def _spoken(text: str) -> list[tuple[int, int, str]]:
     for m in SPOKEN.finditer(text):
         parts = [(p.start() + m.start(), p.end() + m.start(), p.group(1).lower())
                  for p in SPOKEN_PART.finditer(m.group())]
-        if any(word == "dot" for _, _, word in parts):  # "at" alone is an ordinary word
+        last = m.group()[parts[-1][1] - m.start():].lower() if parts else ""
+        if parts and parts[-1][2] == "dot" and last in SPOKEN_ENDS:  # else "at" and "dot" are ordinary words
             edits += [(a, b, SIGNS[word]) for a, b, word in parts]
     return edits
 
@@ -204,9 +208,9 @@ def all_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     if copy.new is not None:
         seen = set(plain)
         for kind, a, b in plain_spans(copy.text):
-            if not copy.new[a:b].any():
-                continue
             span = kind, int(copy.start[a]), int(copy.end[b - 1])
+            if not copy.new[a:b].any() and span[2] - span[1] == b - a:
+                continue  # as in the source
             covered = any(k == kind and s <= span[1] and span[2] <= e for k, s, e in plain)
             if span not in seen and not covered:
                 seen.add(span)
