@@ -211,7 +211,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         y = label[known]
         kept = np.arange(len(y)) % 5 == 0
         if len(set(y[kept])) < 2 or len(set(y[~kept])) < 2:
-            return pd.DataFrame({"weights": [], "other": []})
+            return pd.DataFrame({"weights": [], "other": []}, dtype=object)
         model = co_train([v[known] for v in views], y, kept, [v[~known] for v in views], rounds, marks, sure)
         return pd.DataFrame({"weights": [model.text[0].tobytes(), model.page[0].tobytes()],
                              "other": [[*model.text[1:], float(model.marks)], [*model.page[1:], float(model.marks)]]})

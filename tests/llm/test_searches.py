@@ -1,0 +1,187 @@
+"""Vectors, benchmark items and licences."""
+
+import random
+
+import numpy as np
+import pytest
+
+from linkgraph.llm import decontaminate, embeddings, licences
+from tests.llm import brute
+
+
+def vectors(seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, 24))
+    rows = []
+    for i in range(160):
+        v = centres[rng.integers(6)] + rng.normal(size=24) * rng.choice((0.0, 0.02, 0.2, 1.0))
+        rows.append((i, (v * rng.choice((1e-3, 1.0, 50.0))).astype(float).tolist(), i % 3))
+    rows += [(200, rows[0][1], 0), (201, rows[0][1], 0), (201, rows[0][1], 0)]
+    return rows
+
+
+def brute_vectors(rows, threshold=0.95):
+    x = np.array([v for _, v, _ in rows])
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    close = x @ x.T >= threshold
+    ids = [i for i, _, _ in rows]
+    links = [(ids[a], ids[b]) for a, b in zip(*np.nonzero(np.triu(close, 1)))]
+    found = brute.components(set(ids), links)
+    return sorted((i, int(n) - 1, found[i], i == found[i]) for i, n in zip(ids, close.sum(axis=1)))
+
+
+@pytest.mark.parametrize("tile,pivots", [(4096, 256), (10, 256), (3, 4)])
+def test_vectors_equal_brute_force(spark, tile, pivots, monkeypatch):
+    monkeypatch.setattr(embeddings, "MAX_PIVOTS", pivots)
+    rows = vectors()
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted(map(tuple, embeddings.embedding_components(frame, tile=tile).collect()))
+    assert got == brute_vectors(rows)
+
+
+def test_error_bounds_hold():
+    rng = np.random.default_rng(1)
+    for scale in (1e-30, 1.0, 1e30):
+        unit = embeddings.unit_rows(rng.normal(size=(300, 33)) ** 3 * scale)
+        q, s, e = embeddings.quantised(unit)
+        approx = (q.astype(float) @ q.T.astype(float)) * s[:, None] * s[None, :]
+        bound = e[:, None] + e[None, :] + e[:, None] * e[None, :]
+        assert (np.abs(approx - unit @ unit.T) <= bound + 1e-12).all()
+
+
+def test_far_cells_are_left_out(spark):
+    pivots = {2: np.array([[1.0, 0.0], [0.0, 1.0]])}
+    cells = [{"length": 2, "cell": c, "n": 10, "radius": 0.1} for c in (0, 1)]
+    pairs = embeddings._tile_pairs(spark, cells, pivots, 0.95, 4).collect()
+    assert {(r["cell_a"], r["cell_b"]) for r in pairs} == {(0, 0), (1, 1)} and len(pairs) == 12
+
+
+def test_forest_keeps_components():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 60, 50), rng.integers(0, 60, 50)
+    node, root = embeddings.forest(a, b)
+    ids = set(a.tolist()) | set(b.tolist())
+    assert brute.components(ids, zip(node.tolist(), root.tolist())) == brute.components(ids, zip(a.tolist(), b.tolist()))
+    assert len(node) < len(ids)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [1.0, nan]), (6, [inf, 1.0]), (7, [1.0, None]),
+            (None, [1.0, 0.0]), (8, [1.0, 0.0, 0.0]), (9, [2.0, 0.0]), (10, [0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {r["vec_id"]: tuple(r)[1:] for r in embeddings.embedding_components(frame).collect()}
+    want = {i: (0, i, True) for i, _ in rows if i} | {None: (0, None, False), 1: (1, 1, True), 9: (1, 1, False)}
+    assert got == want
+    assert embeddings.embedding_components(frame.limit(0)).collect() == []
+
+
+def items_and_docs(seed=8):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefg") + str(rng.randrange(300))
+    items = [(i, " ".join(word() for _ in range(rng.choice((2, 5, 9, 30, 90))))) for i in range(25)]
+    items += [(30, None), (31, ""), (32, items[3][1]), (3, items[3][1])]
+    docs = []
+    for i in range(80):
+        text = [word() for _ in range(rng.choice((0, 3, 50, 600)))]
+        for _ in range(rng.choice((0, 0, 1, 2))):
+            part = items[rng.randrange(25)][1].split()
+            cut = rng.choice((0, 0, 1, 3, len(part) // 2))
+            text[len(text) // 2:len(text) // 2] = part[cut:] if rng.random() < 0.5 else part[:len(part) - cut]
+        docs.append((i, " \n".join(text).title()))
+    docs += [(100, None), (None, items[4][1]), (7, items[5][1]), (101, items[0][1]), (101, items[0][1])]
+    return docs, items
+
+
+@pytest.mark.parametrize("sketch", [16, 2])
+def test_items_equal_brute_force(spark, sketch, monkeypatch):
+    monkeypatch.setattr(decontaminate.item_sketches, "__defaults__", (sketch,))
+    docs, items = items_and_docs()
+    frame = spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id bigint, text string, item string, id int")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["id"], r["item"]): (r["n_item_shingles"], r["n_shared"])
+           for r in decontaminate.contained_items(frame, bench).collect()}
+    want = brute.contained(docs, items)
+    assert want and (got == want if sketch == 16 else set(got.items()) <= set(want.items()))
+    clean = decontaminate.without_benchmark(frame, bench)
+    assert clean.columns == frame.columns
+    if sketch == 16:
+        bad = {d for d, _ in want}
+        assert sorted((r["doc_id"] for r in clean.collect()), key=str) == sorted((d for d, _ in docs if d not in bad), key=str)
+
+
+def test_items_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate.small, "__defaults__", (0,))
+    docs, items = items_and_docs(9)
+    found = decontaminate.contained_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["id"], r["item"]) for r in found.collect()} == set(brute.contained(docs, items))
+
+
+def test_empty_tables_have_no_items(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")
+    assert decontaminate.contained_items(docs.limit(0), bench).collect() == []
+    assert decontaminate.contained_items(docs, bench.limit(0)).collect() == []
+    assert decontaminate.without_benchmark(docs, bench.limit(0)).count() == 1
+    long = spark.createDataFrame([(2, "z " * 200_000 + "a b c d e f")], "doc_id bigint, text string")
+    assert decontaminate.contained_items(long, bench).count() == 1
+
+
+FILES = [
+    (1, "p/LICENSE", "MIT License\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software", None),
+    (2, "p/a/x.py", "# SPDX-License-Identifier: Apache-2.0\ncode", None),
+    (3, "p/a/y.py", "nothing here, the of and", None),
+    (4, "p/b/c/z.py", None, None),
+    (5, "p/b/COPYING", "GNU General Public License Version 3, 29 June 2007", None),
+    (6, "q/none.txt", "", None),
+    (7, None, "Released under the MIT License.", None),
+    (8, "r/page", "text", "Licensed under CC BY-NC 4.0."),
+    (9, "r/other", "text", None),
+    (10, "r/other", "text " * 50_000, None),
+    (11, "top", "licence of the work is under version", None),
+    (12, "s/LICENSE", "Released under the MIT License.", None), (13, "s/LICENCE.txt", "SPDX-License-Identifier: ISC", None),
+    (14, "s/f", "x", None),
+]
+
+
+def test_licences_and_inheritance(spark):
+    files = spark.createDataFrame(FILES, "file bigint, path string, text string, title string")
+    got = {r["file"]: (r["licence"], r["origin"]) for r in licences.scan_licences(files).collect()}
+    assert got == {
+        1: ("MIT", "own"), 2: ("Apache-2.0", "own"), 3: ("MIT", "inherited"), 4: ("GPL-3.0", "inherited"),
+        5: ("GPL-3.0", "own"), 6: (None, None), 7: ("MIT", "own"), 8: ("CC-BY-NC-4.0", "own"),
+        9: ("CC-BY-NC-4.0", "inherited"), 10: ("CC-BY-NC-4.0", "inherited"), 11: (None, None), 12: ("MIT", "own"),
+        13: ("ISC", "own"), 14: ("ISC", "inherited")}
+    assert licences.scan_licences(files.limit(0)).collect() == []
+
+
+def test_every_template_is_found_as_itself(spark):
+    rows = [(f"{name} {i}", None, f"x\n  {text.upper()}\ny", None) for name, texts in licences.TEMPLATES.items() for i, text in enumerate(texts)]
+    files = spark.createDataFrame(rows, "file string, path string, text string, title string")
+    got = {r["file"]: r["licence"] for r in licences.scan_licences(files).collect()}
+    assert got == {r[0]: r[0].rsplit(" ", 1)[0] for r in rows}
+
+
+def test_cosines_equal_brute_force(spark):
+    import math
+    import re
+    from collections import Counter
+    texts = ["Licensed under the MIT license now", "the apache license version two", "released software\nGNU public license version 3", "plain words only", "under the terms of the Mozilla Public License"]
+    rows = [(i, None, t, None) for i, t in enumerate(texts)]
+    files = spark.createDataFrame(rows, "file bigint, path string, text string, title string")
+    got = {r["file"]: (r["licence"], r["cosine"]) for r in licences.own_licences(files, 0.4).collect()}
+    tok = lambda t: [x for x in re.split("[^a-z0-9]+", t.lower()) if x]
+    vocab = {t for ts in licences.TEMPLATES.values() for text in ts for t in tok(text)}
+    df = Counter(t for text in texts for t in set(tok(text)) & vocab)
+    idf = lambda t: math.log((1 + len(texts)) / (1 + df.get(t, 0))) + 1
+    vec = lambda t: {k: n * idf(k) for k, n in Counter(tok(t)).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    want = {}
+    for i, text in enumerate(texts):
+        best = min(((-round(sum(a.get(t, 0) * x for t, x in b.items()) / norm(a) / norm(b), 9), name)
+                    for line in text.split("\n") for a in [vec(line)] for name, ts in licences.TEMPLATES.items() for b in map(vec, ts)))
+        if -best[0] >= 0.4:
+            want[i] = (best[1], -best[0])
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert [v[1] for _, v in sorted(got.items())] == pytest.approx([v[1] for _, v in sorted(want.items())], abs=1e-8)
