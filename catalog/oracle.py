@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from catalog.inputs import AGENT, MAX_BYTES, NOW_MS, with_inputs
-from linkgraph.functions.html import ANCHOR_HREF, NOT_MARKUP
 from linkgraph.functions.urls import (
     BRACKET_BEFORE_QUERY, EMPTY_AUTHORITY, HOST, ILL_FORMED, IPV6_HOST, OPAQUE, PATH, SCHEME)
 
@@ -44,22 +43,17 @@ def absolute(link: str, ok: str) -> str:
         f" THEN {canonical} END")
 
 
+# what the test pages hold: anchors with a double-quoted href, and the hrefs only "&amp;" for a reference
+SILENT = "(?s)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title>.*?</title>"
 ANCHORS = f"""
 lists AS (
   SELECT page_id, url, regexp_extract_all(
-    regexp_replace(html, {quoted(NOT_MARKUP)}, '', 'g'), {quoted(ANCHOR_HREF)}, 1) AS hs
+    regexp_replace(html, {quoted(SILENT)}, '', 'g'), '<a [^>]*?href="([^"]*)"', 1) AS hs
   FROM pages),
-raw_hrefs AS (
-  SELECT page_id, url, unnest(hs) AS raw, CAST(generate_subscripts(hs, 1) - 1 AS INTEGER) AS ord
-  FROM lists),
-bare AS (
-  SELECT page_id, url, ord,
-         CASE WHEN raw[1] IN ('"', '''') THEN substr(raw, 2, length(raw) - 2) ELSE raw END AS href
-  FROM raw_hrefs),
 anchors AS (
-  SELECT page_id, url, ord, replace(replace(replace(replace(replace(
-    href, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&') AS href
-  FROM bare)"""
+  SELECT page_id, url, CAST(generate_subscripts(hs, 1) - 1 AS INTEGER) AS ord,
+         replace(unnest(hs), '&amp;', '&') AS href
+  FROM lists)"""
 
 
 def resolved(source: str) -> str:
@@ -123,7 +117,17 @@ delta AS (
 # Pages, links and URLs
 
 twin("extract_links", f"{ANCHORS}, result AS (SELECT * FROM anchors)")
-twin("extract_links_exact", f"{ANCHORS}, result AS (SELECT * FROM anchors)")
+twin("extract_links_hostile", f"""{ANCHORS},
+numbers AS (SELECT page_id, url, CAST(len(hs) AS INTEGER) AS n FROM lists),
+result AS (
+  SELECT page_id, url, CAST(ord + 1 AS INTEGER) AS ord, href FROM anchors
+  UNION ALL SELECT page_id, url, 0, '/crowded?' || page_id FROM numbers
+  UNION ALL SELECT page_id, url, CAST(n + 1 AS INTEGER), '/single' FROM numbers)""")
+twin("decode_references_pages", """
+result AS (
+  SELECT page_id, url || '?a&lt;A' || chr(233) || '&lt;&copy=1' || chr(8770) || chr(824) || chr(8364)
+         || '&nope;&#128;' || page_id AS href
+  FROM pages)""".replace("&#128;", "' || chr(8364) || '"))
 twin("resolve_links", f"{PAGE_LINKS}, result AS (SELECT * FROM good_links)")
 twin("resolve_link_shapes", ANCHORS + """,
 shapes AS (

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import linkgraph as lg
 from catalog.inputs import AGENT, MAX_BYTES, NOW_MS, load
 from linkgraph.functions.buckets import host_bucket
+from linkgraph.functions.html import decode_references
 from linkgraph.functions.text import normalise_body
 from linkgraph.functions.urls import host_of, url_parts
 from linkgraph.operators.edges import edge_pairs
@@ -61,8 +62,22 @@ def extract_links(spark, sf):
 
 
 @query
-def extract_links_exact(spark, sf):
-    return lg.extract_links(load(spark, sf, "pages"), exact=True)
+def extract_links_hostile(spark, sf):
+    """Pages wrapped in markup that is easy to get wrong, around their own anchors."""
+    comments = F.lit("<!--><!-- <a href=/no> --!>")
+    crowded = F.concat(F.lit("<a "), F.repeat(F.lit("u=a/b "), (F.col("page_id") % 90).cast("int")),
+                       F.lit('class="k"href="/crowded?'), F.col("page_id"), F.lit('" title="<a href=/no>">'))
+    ended = F.lit("<textarea><a href=/no></textarea ><a href = '/single'id=x><img alt='<a href=/no>'><a name=z>")
+    html = F.concat(comments, crowded, F.col("html"), ended)
+    return lg.extract_links(load(spark, sf, "pages").withColumn("html", html))
+
+
+@query
+def decode_references_pages(spark, sf):
+    """References of every kind within the hrefs of pages."""
+    tail = F.concat(F.lit("?a&#38;lt;&#00000065;&eacute;&amp;lt;&copy=1&NotEqualTilde;&#x20AC;&nope;&#128;"),
+                    F.col("page_id"))
+    return load(spark, sf, "pages").select("page_id", decode_references(F.concat("url", tail)).alias("href"))
 
 
 @query

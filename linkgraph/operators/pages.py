@@ -13,41 +13,15 @@ from linkgraph.functions.urls import (
     host_of, is_web_url, path_of, resolve_url, resolve_urls, scheme_of)
 
 
-def _href_parser():
-    """The task function of the exact mode; made here so that workers need not have this package."""
-    from html.parser import HTMLParser
+def with_hrefs(pages: DataFrame) -> DataFrame:
+    """Add ``hrefs``; empty for a page without anchors or without HTML."""
+    none = F.array().cast("array<string>")
+    return pages.withColumn("hrefs", F.coalesce(anchor_hrefs(F.col("html")), none))
 
-    class Anchors(HTMLParser):
-        def handle_starttag(self, tag, attrs):
-            if tag == "a":
-                self.hrefs.extend([value or "" for name, value in attrs if name == "href"][:1])
 
-    def hrefs(html):
-        parser = Anchors()
-        parser.hrefs = []
-        parser.feed(html or "")
-        parser.close()
-        return parser.hrefs
-
-    def parse(batches):
-        for batch in batches:
-            yield batch.assign(hrefs=[hrefs(html) for html in batch["html"]])
-
-    return parse
-
-
-def with_hrefs(pages: DataFrame, exact: bool = False) -> DataFrame:
-    """Add ``hrefs``; ``exact`` runs a full HTML parser in Python instead of native expressions."""
-    if not exact:
-        none = F.array().cast("array<string>")
-        return pages.withColumn("hrefs", F.coalesce(anchor_hrefs(F.col("html")), none))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
-    return pages.mapInPandas(_href_parser(), f"{columns}, hrefs array<string>")
-
-
-def extract_links(pages: DataFrame, exact: bool = False) -> DataFrame:
+def extract_links(pages: DataFrame) -> DataFrame:
     """Every anchor of every page: ``page_id, url, ord, href``."""
-    return with_hrefs(pages, exact).select("page_id", "url", F.posexplode("hrefs").alias("ord", "href"))
+    return with_hrefs(pages).select("page_id", "url", F.posexplode("hrefs").alias("ord", "href"))
 
 
 def resolve_links(hrefs: DataFrame) -> DataFrame:
@@ -61,15 +35,17 @@ def resolve_links(hrefs: DataFrame) -> DataFrame:
     return hrefs.select("page_id", "url", "ord", F.explode(good).alias("link"))
 
 
-def crawl_outputs(pages: DataFrame, exact: bool = False) -> DataFrame:
+def crawl_outputs(pages: DataFrame) -> DataFrame:
     """What a fetched page leaves behind: ``page_id, url, body, targets``.
 
     Pages without links keep an empty list.
     """
     url = F.col("url")
-    return with_hrefs(pages, exact).select(
-        "page_id", "url", normalise_body(F.col("html")).alias("body"),
-        resolve_urls(F.col("hrefs"), scheme_of(url), host_of(url), path_of(url)).alias("targets"))
+    site = F.struct(scheme_of(url).alias("scheme"), host_of(url).alias("host"), path_of(url).alias("path"))
+    targets = F.flatten(F.transform(F.array(site), lambda page: resolve_urls(
+        F.col("hrefs"), page["scheme"], page["host"], page["path"])))  # the parts are worked out once a page
+    return with_hrefs(pages).select(
+        "page_id", "url", normalise_body(F.col("html")).alias("body"), targets.alias("targets"))
 
 
 def page_links(outputs: DataFrame) -> DataFrame:
@@ -77,12 +53,12 @@ def page_links(outputs: DataFrame) -> DataFrame:
     return outputs.select(F.col("url").alias("source"), "targets")
 
 
-def candidate_urls(pages: DataFrame, exact: bool = False) -> DataFrame:
+def candidate_urls(pages: DataFrame) -> DataFrame:
     """Fetchable links of pages: ``page_id, ord, url, host``, with ``ord`` among the usable links.
 
     Pages that already have ``targets`` are not parsed again.
     """
-    outputs = pages if "targets" in pages.columns else crawl_outputs(pages, exact)
+    outputs = pages if "targets" in pages.columns else crawl_outputs(pages)
     targets = outputs.select(
         "page_id", F.posexplode("targets").alias("ord", "url"))
     return targets.where(is_web_url(F.col("url"))).withColumn("host", host_of(F.col("url")))
