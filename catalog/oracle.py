@@ -252,6 +252,7 @@ result AS (
   FROM first_arrivals a LEFT JOIN arrival_hosts h ON h.host = a.host)"""
 twin("politeness_schedule", SCHEDULED, "arrivals", "arrival_hosts")
 twin("stream_schedule", SCHEDULED, "arrivals", "arrival_hosts")
+twin("stream_schedule_new_hosts", SCHEDULED, "arrivals", "arrival_hosts")
 twin("politeness_host_times", """
 totals AS (SELECT host, count(DISTINCT url) AS n FROM arrivals GROUP BY host),
 result AS (
@@ -308,14 +309,21 @@ delays AS (
         FROM rules) r
   GROUP BY host)"""
 twin("parse_robots", PAIRS + ", result AS (SELECT * FROM rules)", "robots_bodies")
-twin("host_rules", PAIRS + """,
+AGENTS = """
+agents AS (
+  SELECT host, unnest(['*', 'last']) AS agent FROM robots_bodies
+  UNION ALL SELECT host, unnest(['mybot', 'other']) FROM robots_bodies WHERE substr(sha1(host), 1, 1) < 'c')"""
+twin("known_agents", AGENTS + ", result AS (SELECT * FROM agents)", "robots_bodies")
+twin("host_rules", PAIRS + "," + AGENTS + """,
 result AS (
   SELECT host, agent,
          coalesce(string_agg(value, '|' ORDER BY ord) FILTER (WHERE directive = 'disallow'), '') AS disallow,
          coalesce(string_agg(value, '|' ORDER BY ord) FILTER (WHERE directive = 'allow'), '') AS allow,
          coalesce(string_agg(value, '|' ORDER BY ord) FILTER (WHERE directive = 'sitemap'), '') AS sitemaps,
          CAST(arg_max(value, ord) FILTER (WHERE directive = 'crawl-delay') AS DOUBLE) AS crawl_delay
-  FROM rules GROUP BY host, agent)""", "robots_bodies")
+  FROM (SELECT host, agent, directive, value, ord FROM rules
+        UNION ALL SELECT host, agent, NULL, NULL, NULL FROM agents) named
+  GROUP BY host, agent)""", "robots_bodies")
 twin("effective_delay", PAIRS + "," + DELAYS + ", result AS (SELECT * FROM delays)", "robots_bodies")
 
 
@@ -473,8 +481,8 @@ result AS (
   SELECT p.url AS source, coalesce(t.targets, '') AS targets
   FROM pages p LEFT JOIN target_lists t ON t.page_id = p.page_id)""")
 twin("stream_crawl_documents", "result AS (SELECT url, " + BODY.format("html") + " AS body FROM pages)")
-# Three batches: the clock of the last decides.
+# Three batches with arrivals and one without: the clock of the last decides.
 twin("stream_due", f"""
 result AS (
   SELECT url, next_request_ms FROM frontier
-  WHERE next_request_ms < {NOW_MS} + 2 * 40000 + 2000)""", "frontier")
+  WHERE next_request_ms < {NOW_MS} + 3 * 40000 + 2000)""", "frontier")

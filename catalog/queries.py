@@ -422,10 +422,16 @@ def parse_robots(spark, sf):
 
 @query
 def host_rules(spark, sf):
-    rules = lg.host_rules(lg.parse_robots(load(spark, sf, "robots_bodies")))
+    bodies = load(spark, sf, "robots_bodies")
+    rules = lg.host_rules(lg.parse_robots(bodies), lg.known_agents(bodies))
     return rules.select("host", "agent", joined("disallow"), joined("allow"), joined("sitemaps"), "crawl_delay")
 
 
+@query
+def known_agents(spark, sf):
+    return lg.known_agents(load(spark, sf, "robots_bodies"))
+
+
 @query
 def effective_delay(spark, sf):
     return lg.effective_delay(lg.parse_robots(load(spark, sf, "robots_bodies")), AGENT)
@@ -496,8 +502,11 @@ def link_files_round_trip(spark, sf):
 # Streams: the table arrives in three parts, and the query goes on after each
 
 
-def replay(df: DataFrame, order_col: str, start: Callable[[DataFrame], object], parts: int = 3) -> None:
-    """Let ``df`` arrive in parts in order of ``order_col``, one batch each, and run a stream over it."""
+def replay(df: DataFrame, order_col: str, start: Callable[[DataFrame], object], parts: int = 3) -> DataFrame:
+    """Let ``df`` arrive in parts in order of ``order_col``, one batch each, and run a stream over it.
+
+    Returns the stream, to which nothing is added any more.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "arriving")
     bounds = df.approxQuantile(order_col, [i / parts for i in range(1, parts)], 0.01)
@@ -508,6 +517,7 @@ def replay(df: DataFrame, order_col: str, start: Callable[[DataFrame], object],
         rows.write.mode("append").parquet(path)
         running = start(stream.parquet(path))
         running.awaitTermination()
+    return stream.parquet(path)
 
 
 @query
@@ -530,6 +540,20 @@ def stream_schedule(spark, sf):
     return spark.read.parquet(f"{path}/frontier").drop("batch")
 
 
+@query
+def stream_schedule_new_hosts(spark, sf):
+    """Hosts that become known with the first URLs, by a second stream, across snapshots."""
+    new = lg.first_occurrence(load(spark, sf, "arrivals"), "arrival")
+    hosts = load(spark, sf, "arrival_hosts")
+    path = scratch_path(spark, "schedule")
+    hosts.where("crawl_delay >= 1.5").write.parquet(f"{path}/registered")
+    entries = spark.readStream.schema(hosts.schema).parquet(f"{path}/registered")
+    replay(new, "arrival", lambda stream: lg.start_schedule(
+        stream, hosts.where("crawl_delay < 1.5"), path, f"{path}/state", snapshot_every=2, available_now=True,
+        registrations=entries), parts=4)
+    return spark.read.parquet(f"{path}/frontier").drop("batch")
+
+
 @query
 def stream_rolling_files(spark, sf):
     events = load(spark, sf, "events").select("event_id", "ts", "event_type")
@@ -568,12 +592,16 @@ DUE_STEP_MS = 40_000
 
 @query
 def stream_due(spark, sf):
-    """URLs released by a clock that moves on by 40 s per batch."""
+    """URLs released by a clock that moves on by 40 s per batch; the last batch has no arrival."""
     frontier = load(spark, sf, "frontier").select("url", "host", "next_request_ms")
     path = scratch_path(spark, "due")
-    replay(frontier, "next_request_ms", lambda stream: lg.start_due(
-        stream, path, f"{path}/state", clock=lambda batch_id: NOW_MS + batch_id * DUE_STEP_MS,
-        slot_ms=5000, available_now=True))
+
+    def start(stream):
+        return lg.start_due(stream, path, f"{path}/state", slot_ms=5000, available_now=True,
+                            clock=lambda batch_id: NOW_MS + batch_id * DUE_STEP_MS)
+
+    arriving = replay(frontier, "next_request_ms", start)
+    start(arriving).awaitTermination()
     return spark.read.parquet(f"{path}/due").select("url", "next_request_ms")
 
 

@@ -11,10 +11,10 @@ from linkgraph.operators.ranking import (
     has_converged, initial_state, link_graph, max_delta, pagerank_finish, pagerank_init,
     pagerank_step, rank_delta)
 from linkgraph.operators.robots import (
-    allowed, effective_delay, effective_disallow, host_rules, parse_robots)
+    allowed, effective_delay, effective_disallow, host_rules, known_agents, parse_robots)
 from linkgraph.operators.tables import clear, delete_keys, upsert
 from linkgraph.plans.frontier import frontier_round
-from linkgraph.plans.pagerank import pagerank, rank_edges
+from linkgraph.plans.pagerank import pagerank, rank_edges, rank_states
 from linkgraph.session import build_session
 from linkgraph.sources.documents import read_documents, write_documents
 from linkgraph.sources.links import read_links, write_links

@@ -14,9 +14,12 @@ from pyspark.sql import Column, functions as F
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)"
+# Ports up to the greatest 32-bit number, with any leading zeros.
+PORT = (r"-1|0*(?:[0-9]{0,9}|1[0-9]{9}|20[0-9]{8}|21[0-3][0-9]{7}|214[0-6][0-9]{6}|2147[0-3][0-9]{5}"
+        r"|21474[0-7][0-9]{4}|214748[0-2][0-9]{3}|2147483[0-5][0-9]{2}|21474836[0-3][0-9]|214748364[0-7])")
 LINK_URL = (
     r"^(?i:https?|ftp|file):(?:/?(?:[^/]|$)"
-    r"|//(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^/?#:]*)(?::(?:-1|[0-9]{0,9}))?(?:[/?#]|$))"
+    r"|//(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^/?#:]*)(?::(?:" + PORT + r"))?(?:[/?#]|$))"
     r"|^(?i:mailto):|^(?i:jar):.*!/")
 WEB_URL = r"^(?i:https?):"
 IPV6_HOST = r"^((?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@\[\]]*@)?)\[[0-9A-Fa-f:.]+\]"

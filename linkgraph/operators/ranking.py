@@ -22,9 +22,6 @@ START_RANK = 1.0
 # partition; so there are never more than 1000 hubs or, if that is more, one per partition.
 HUB_SHARE = 1 / 1000
 
-# Below this many pairs per partition, a fixed layout costs more than it saves.
-MIN_PAIRS_PER_PARTITION = 10_000
-
 
 class LinkGraph(NamedTuple):
     """Edges laid out for repeated steps.
@@ -64,6 +61,7 @@ def link_graph(edges: DataFrame, distinct_edges: bool = False,
                hub_share: float | None = None) -> LinkGraph:
     """Prepare ``edges`` (``src, dst``) for steps, in ``spark.sql.shuffle.partitions`` partitions.
 
+    A ``hub_share`` below the default counts as the default, so the number of hubs stays bounded.
     The pairs are written once to the checkpoint folder, so that a lost executor costs a re-read and
     not a re-parse; what is cached on top of them is only a layout.
     """
@@ -71,8 +69,7 @@ def link_graph(edges: DataFrame, distinct_edges: bool = False,
     path = scratch_path(spark, "pairs")
     pairs = written(edge_pairs(edges, distinct_edges), path)
     n, total = int(spark.conf.get("spark.sql.shuffle.partitions")), pairs.count()
-    limit = total * (hub_share or min(HUB_SHARE, 1 / n))
-    n = min(n, total // MIN_PAIRS_PER_PARTITION + 1)
+    limit = total * max(hub_share or 0, min(HUB_SHARE, 1 / n))
     nodes = _laid_out(degree_table(pairs), n, "node")
     hubs = nodes.where(F.col("fanout") > limit).select(F.col("node").alias("src")).persist()
     if hubs.isEmpty():
@@ -87,17 +84,24 @@ def link_graph(edges: DataFrame, distinct_edges: bool = False,
 def _laid_out(rows: DataFrame, n: int, key: str) -> DataFrame:
     """Cache ``rows`` partitioned and sorted by ``key``, so that steps neither shuffle nor sort them.
 
-    The cache is filled here: only then does the planner know how it is partitioned. Few rows go to
-    fewer than the usual partitions instead, in any layout.
+    The cache is filled here: only then does the planner know how it is partitioned.
     """
-    if n == int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        rows = rows.repartition(n, key).sortWithinPartitions(key).persist()
-    else:
-        rows = rows.coalesce(n).persist()
+    rows = rows.repartition(n, key).sortWithinPartitions(key).persist()
     rows.count()
     return rows
 
 
+def single_step(edges: DataFrame, damping: float = DAMPING, distinct_edges: bool = False) -> DataFrame:
+    """The state after one step, without a graph laid out for more: degrees, one join, one sum."""
+    pairs = edge_pairs(edges, distinct_edges)
+    nodes = degree_table(pairs).drop("fanout")
+    start = nodes.where(F.col("out_degree").isNotNull()).withColumn("rank", F.lit(START_RANK))
+    received = _sent(start, pairs).groupBy("dst").agg(F.sum("amount").alias("received"))
+    rank = F.lit(1 - damping) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
+    return nodes.join(received, F.col("node") == F.col("dst"), "left").select(
+        "node", "out_degree", rank.alias("rank"))
+
+
 def initial_state(graph: LinkGraph) -> DataFrame:
     """State 0: every node with links of its own, at the start rank."""
     return graph.nodes.where(F.col("out_degree").isNotNull()).select(

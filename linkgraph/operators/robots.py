@@ -62,6 +62,13 @@ def parse_robots(bodies: DataFrame) -> DataFrame:
                        value.alias("value"), ord_.alias("ord")).where(F.col("value").isNotNull())
 
 
+def known_agents(bodies: DataFrame) -> DataFrame:
+    """``host, agent``: every agent that a robots text (``host, body``) names, also without a rule."""
+    blocks = bodies.select("host", F.explode(F.split("body", "\n\n")).alias("block"))
+    named = blocks.select("host", F.explode(_of(_pairs(F.col("block")), AGENT)).alias("who"))
+    return named.select("host", F.col("who.value").alias("agent")).distinct()
+
+
 def _in_order(directive: str) -> Column:
     """Values of one directive in text order; bounded by the one robots text they come from."""
     pairs = F.sort_array(F.collect_list(F.when(
@@ -69,8 +76,13 @@ def _in_order(directive: str) -> Column:
     return F.transform(pairs, lambda p: p["value"])
 
 
-def host_rules(rules: DataFrame) -> DataFrame:
-    """Rules gathered: ``host, agent, disallow, allow, sitemaps, crawl_delay``."""
+def host_rules(rules: DataFrame, agents: DataFrame | None = None) -> DataFrame:
+    """Rules gathered: ``host, agent, disallow, allow, sitemaps, crawl_delay``.
+
+    With ``agents`` (``host, agent``) those without a rule get a row of empty lists.
+    """
+    if agents is not None:
+        rules = rules.unionByName(agents.select("host", "agent"), allowMissingColumns=True)
     return rules.groupBy("host", "agent").agg(
         _in_order(DISALLOW).alias("disallow"),
         _in_order(ALLOW).alias("allow"),

@@ -2,12 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 
 from linkgraph.operators.edges import to_edges
 from linkgraph.operators.ranking import (
-    DAMPING, has_converged, initial_state, link_graph, pagerank_finish, pagerank_step)
-from linkgraph.session import checkpointed
+    DAMPING, has_converged, initial_state, link_graph, pagerank_finish, pagerank_step, single_step)
+from linkgraph.session import checkpointed, drop_path, scratch_path, written
+
+
+def rank_states(edges: DataFrame, damping: float = DAMPING, checkpoint_every: int = 5,
+                distinct_edges: bool = False, keep: bool = True) -> Iterator[DataFrame]:
+    """States 0, 1, 2 and so on over one graph, for as long as they are asked for.
+
+    A state can be used until two states later. States are written to the checkpoint folder every few steps, so
+    neither the plan nor the work lost with an executor grows with the number of steps; with ``keep``, or next
+    to hub edges, the others are cached in their layout. The graph is given up when the iterator is closed.
+    """
+    graph = link_graph(edges, distinct_edges)
+    try:
+        state, step, held = initial_state(graph), 0, []
+        while True:
+            yield state
+            step += 1
+            following = pagerank_step(state, graph, damping)
+            if step % checkpoint_every == 0:
+                following = checkpointed(following)
+            elif keep or graph.hub_edges is not None:
+                held.append((step, following.persist()))
+                following.count()
+            state = following
+            # what lies before the checkpoint before is read no more
+            reached = step // checkpoint_every * checkpoint_every
+            while held and held[0][0] < reached and held[0][0] < step - 1:
+                held.pop(0)[1].unpersist()
+    finally:
+        release([frame for _, frame in held])
+        graph.release()
 
 
 def rank_edges(edges: DataFrame, max_iter: int = 1, tol: float | None = None,
@@ -15,29 +47,24 @@ def rank_edges(edges: DataFrame, max_iter: int = 1, tol: float | None = None,
                distinct_edges: bool = False) -> DataFrame:
     """The state after ``max_iter`` steps, or fewer once no rank moves by more than ``tol``.
 
-    States are written to the checkpoint folder every few steps and at the end, so neither the plan
-    nor the work lost with an executor grows with the number of steps. In between, a state that is
-    read twice, by a test or next to hub edges, is cached in its layout.
+    A single step without a test needs no graph laid out for more.
     """
-    graph = link_graph(edges, distinct_edges)
-    state, cached = initial_state(graph), []
+    if max_iter == 1 and tol is None:
+        pairs = scratch_path(edges.sparkSession, "pairs")
+        state = checkpointed(single_step(written(edges.select("src", "dst"), pairs), damping, distinct_edges))
+        drop_path(edges.sparkSession, pairs)
+        return state
+    states = rank_states(edges, damping, checkpoint_every, distinct_edges, keep=tol is not None)
+    before = next(states)
     for i in range(1, max_iter + 1):
-        following = pagerank_step(state, graph, damping)
-        check = tol is not None and i % check_every == 0
-        if i % checkpoint_every == 0:
-            following = checkpointed(following)
-            release(cached)
-        elif check or graph.hub_edges is not None:
-            cached.append(following.persist())
-            following.count()
-        done = check and has_converged(state, following, tol)
-        state = following
-        if done:
+        state = next(states)
+        if tol is not None and i % check_every == 0 and has_converged(before, state, tol):
+            before = state
             break
-    state = checkpointed(state)
-    release(cached)
-    graph.release()
-    return state
+        before = state
+    result = checkpointed(before)
+    states.close()
+    return result
 
 
 def release(cached: list[DataFrame]) -> None:

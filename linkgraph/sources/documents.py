@@ -18,5 +18,7 @@ def read_documents(spark: SparkSession, path: str, marker: str) -> DataFrame:
 
 
 def write_documents(documents: DataFrame, path: str, marker: str, mode: str = "error") -> None:
-    (documents.select(F.concat_ws("\t", "url", "body").alias("value"))
+    """Write records; a NULL body is written as an empty one, rows without a URL are left out."""
+    record = F.concat("url", F.lit("\t"), F.coalesce("body", F.lit("")))
+    (documents.where(F.col("url").isNotNull()).select(record.alias("value"))
      .write.mode(mode).option("lineSep", marker).text(path))

@@ -25,7 +25,9 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
 
 
 def link_lines(links: DataFrame) -> DataFrame:
-    return links.select(F.concat_ws("\t", "source", format_list(F.col("targets"))).alias("value"))
+    targets = F.coalesce("targets", F.array().cast("array<string>"))
+    return links.where(F.col("source").isNotNull()).select(
+        F.concat("source", F.lit("\t"), format_list(targets)).alias("value"))
 
 
 def write_links(links: DataFrame, path: str, format: str = "parquet", mode: str = "error") -> None:

@@ -1,7 +1,8 @@
 """Release of scheduled URLs when their time comes.
 
 URLs that wait are written once, in folders by time slot, and never rewritten: a batch releases the
-time range that has passed since the batch before, and reads only the slots of that range.
+time range that has passed since the batch before, and reads only the slots of that range, by path. A
+clock tick next to the URLs makes a batch also while none arrive.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -17,13 +18,33 @@ from linkgraph.operators.frontier import DUE_HORIZON_MS
 from linkgraph.streaming.admit import ROTATION
 from linkgraph.streaming.sinks import trigger_options
 
-BY_BATCH_AND_SLOT = (StructField("batch", LongType()), StructField("slot", LongType()))
+BY_SLOT_AND_BATCH = (StructField("slot", LongType()), StructField("batch", LongType()))
+TICK = "is_tick"
 
 
 def wall_clock(batch_id: int) -> int:
     return int(time.time() * 1000)
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that are there, on whatever file system."""
+    found = []
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+            found.append(path)
+    return found
+
+
+def with_ticks(rows: DataFrame) -> DataFrame:
+    """A stream with a row of NULLs in every batch, marked in ``is_tick``, so that batches never cease."""
+    ticks = (rows.sparkSession.readStream.format("rate-micro-batch").option("rowsPerBatch", 1)
+             .option("startTimestamp", 0).load())
+    empty = ticks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields],
+                         F.lit(True).alias(TICK))
+    return rows.withColumn(TICK, F.lit(False)).unionByName(empty)
+
+
 def start_due(scheduled: DataFrame, path: str, checkpoint: str,
               clock: Callable[[int], int] = wall_clock, horizon_ms: int = DUE_HORIZON_MS,
               slot_ms: int = 60_000, every: str = ROTATION,
@@ -31,37 +52,45 @@ def start_due(scheduled: DataFrame, path: str, checkpoint: str,
     """Write the URLs of a frontier stream that fall due in a batch to ``due/batch=N``.
 
     ``clock`` gives the present, in milliseconds, for a batch number. The end of the released range
-    is stored with every batch; it never goes back.
+    is stored with every batch; it never goes back. A batch looks at the slots between the two ends, so what it
+    lists does not grow with the age of the stream.
     """
-    waiting_schema = StructType([*scheduled.schema.fields, *BY_BATCH_AND_SLOT])
-    slot = F.floor(F.col("next_request_ms") / slot_ms)
+    waiting_schema = StructType([*scheduled.schema.fields, *BY_SLOT_AND_BATCH])
+
+    def late(spark: SparkSession, since: int, until: int, batch_id: int) -> DataFrame | None:
+        slots = range(since // slot_ms, until // slot_ms + 1)
+        paths = existing(spark, [f"{path}/waiting/slot={slot}" for slot in slots])
+        if not paths:
+            return None
+        waiting = spark.read.schema(waiting_schema).option("basePath", f"{path}/waiting").parquet(*paths)
+        return waiting.where((F.col("batch") < batch_id) & (F.col("next_request_ms") >= since)
+                             & (F.col("next_request_ms") < until)).select(*scheduled.columns)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         until = clock(batch_id) + horizon_ms
-        batch.persist()
+        urls = batch.where(~F.col(TICK)).drop(TICK).persist()
         try:
-            late = None
+            due = urls.where(F.col("next_request_ms") < until)
             if batch_id > 0:
                 since = spark.read.schema("until bigint").parquet(
                     f"{path}/ends/batch={batch_id - 1}").first()["until"]
                 until = max(until, since)
-                waiting = spark.read.schema(waiting_schema).parquet(f"{path}/waiting")
-                late = waiting.where(
-                    (F.col("batch") < batch_id)
-                    & F.col("slot").between(since // slot_ms, until // slot_ms)
-                    & (F.col("next_request_ms") >= since) & (F.col("next_request_ms") < until))
-            due = batch.where(F.col("next_request_ms") < until)
-            if late is not None:
-                due = due.unionByName(late.select(*due.columns))
-            (batch.where(F.col("next_request_ms") >= until).withColumn("slot", slot)
-             .write.mode("overwrite").partitionBy("slot").parquet(f"{path}/waiting/batch={batch_id}"))
+                due = urls.where(F.col("next_request_ms") < until)
+                released = late(spark, since, until, batch_id)
+                if released is not None:
+                    due = due.unionByName(released)
+            # a batch that is tried again replaces its own folders; what an earlier try left in others lies
+            # before the end of the range and is not read
+            (urls.where(F.col("next_request_ms") >= until)
+             .withColumns({"slot": F.floor(F.col("next_request_ms") / slot_ms), "batch": F.lit(batch_id)})
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("slot", "batch").parquet(f"{path}/waiting"))
             due.write.mode("overwrite").parquet(f"{path}/due/batch={batch_id}")
             spark.createDataFrame([(until,)], "until bigint").write.mode("overwrite").parquet(
                 f"{path}/ends/batch={batch_id}")
         finally:
-            batch.unpersist()
+            urls.unpersist()
 
-    return (scheduled.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (with_ticks(scheduled).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger_options(every, available_now)).start())
-

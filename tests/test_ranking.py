@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import linkgraph as lg
-from linkgraph.operators import ranking
 from linkgraph.operators.ranking import contributions
 from linkgraph.sources.links import parse_links
 
@@ -96,9 +95,8 @@ def hub_edges(seed):
             + [(rng.choice(nodes), rng.choice(nodes + ["hub"])) for _ in range(1000)])
 
 
-@pytest.mark.parametrize("share, rows_per_partition", [(0.5, 1), (0.05, 1), (0.05, 10_000)])
-def test_hubs(spark, monkeypatch, share, rows_per_partition):
-    monkeypatch.setattr(ranking, "MIN_PAIRS_PER_PARTITION", rows_per_partition)
+@pytest.mark.parametrize("share", [0.5, 0.05])
+def test_hubs(spark, share):
     rows = hub_edges(3)
     edges = spark.createDataFrame(rows, "src string, dst string")
     graph = lg.link_graph(edges, hub_share=share)
@@ -121,8 +119,36 @@ def test_mass_is_kept_without_dangling_nodes(spark):
     assert sum(ranks(state).values()) == pytest.approx(len({n for e in rows for n in e}), abs=1e-9)
 
 
-def test_a_step_shuffles_contributions_only(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "MIN_PAIRS_PER_PARTITION", 1)
+def test_the_number_of_hubs_is_bounded(spark):
+    rows = [(f"n{i}", f"n{j}") for i in range(30) for j in range(30) if i != j]
+    graph = lg.link_graph(spark.createDataFrame(rows, "src string, dst string"), hub_share=1e-9)
+    assert graph.hubs is None or graph.hubs.count() <= max(1000, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    graph.release()
+
+
+def test_states_follow_one_another(spark):
+    rows = hub_edges(8)
+    states = lg.rank_states(spark.createDataFrame(rows, "src string, dst string"), checkpoint_every=2)
+    before = next(states)
+    for step in range(1, 6):
+        state = next(states)
+        assert ranks(state) == pytest.approx(brute_force(rows, step), abs=1e-9)
+        assert lg.max_delta(lg.rank_delta(before, state)).first()[0] is not None
+        before = state
+    states.close()
+
+
+@pytest.mark.parametrize("partitions", ["4", "200"])
+def test_a_step_shuffles_contributions_only(spark, partitions):
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        _step_shuffles_contributions_only(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
+def _step_shuffles_contributions_only(spark):
     rows = [(f"n{i}", f"n{(i * 7 + j) % 400}") for i in range(400) for j in range(5)]
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)

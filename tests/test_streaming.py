@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,46 @@ def test_due_releases_each_url_once_and_in_time(spark, tmp_path):
             assert got[url] == min(b for b in range(arrived, 6) if at < max(clock[:b + 1]) + 2000)
 
 
+def test_due_is_released_without_a_further_arrival(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", "url string, next_request_ms bigint")
+    source.add([("now", 0), ("soon", 7_000), ("later", 10**12)])
+    query = start_due(source.stream(), str(tmp_path / "out"), str(tmp_path / "state"), slot_ms=1000, horizon_ms=0,
+                      clock=lambda b: 1_000 + b * 10_000, every="1 second")
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and not query.exception():
+            if query.lastProgress and query.lastProgress["batchId"] >= 3:
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    rows = {r.url: r.batch for r in spark.read.parquet(str(tmp_path / "out/due")).collect()}
+    assert set(rows) == {"now", "soon"} and rows["soon"] > rows["now"]
+
+
+def test_hosts_registered_later_are_polite(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", "url string, host string, arrival bigint")
+    entries = Source(spark, tmp_path / "entries", HOSTS)
+    hosts = spark.createDataFrame([("old", 1.0, 0)], HOSTS)
+    path = str(tmp_path / "out")
+
+    def run():
+        done(start_schedule(source.stream(), hosts, path, str(tmp_path / "state"), snapshot_every=2,
+                            available_now=True, registrations=entries.stream()))
+
+    source.add([("a1", "new", 1), ("o1", "old", 2)])
+    entries.add([("other", 1.0, 5)])
+    run()
+    entries.add([("new", 2.0, 10_000)])
+    source.add([("a2", "new", 3), ("a3", "new", 4)])
+    run()
+    for i in range(4, 8):
+        source.add([(f"a{i}", "new", i + 1)])
+        run()
+    got = {r.url: r.next_request_ms for r in spark.read.parquet(f"{path}/frontier").collect()}
+    assert got == {"a1": 0, "o1": 1000, "a2": 12_000, "a3": 14_000, "a4": 16_000, "a5": 18_000, "a6": 20_000, "a7": 22_000}
+
+
 def test_page_stream(spark, tmp_path):
     source = Source(spark, tmp_path / "in", "page_id bigint, url string, html string")
     source.add([(1, "http://h/1", ' <a href="/x"> ')])
