@@ -369,6 +369,11 @@ twin("pop_due", f"""
 result AS (
   SELECT * FROM frontier WHERE next_request_ms - {NOW_MS} < 2000
   ORDER BY next_request_ms, url LIMIT 15)""", "frontier")
+twin("pop_due_rest", f"""
+popped AS (
+  SELECT url FROM frontier WHERE next_request_ms - {NOW_MS} < 2000
+  ORDER BY next_request_ms, url LIMIT 15),
+result AS (SELECT * FROM frontier WHERE url NOT IN (SELECT url FROM popped))""", "frontier")
 twin("pull_batch", "result AS (SELECT * FROM frontier ORDER BY url LIMIT 25)", "frontier")
 twin("pull_batch_rest", "result AS (SELECT * FROM frontier ORDER BY url LIMIT ALL OFFSET 25)", "frontier")
 twin("frontier_in_time_order", "result AS (SELECT * FROM frontier ORDER BY next_request_ms, url)", "frontier")

@@ -349,6 +349,11 @@ def pop_due(spark, sf):
     return lg.pop_due(load(spark, sf, "frontier"), NOW_MS, 15).popped
 
 
+@query
+def pop_due_rest(spark, sf):
+    return lg.pop_due(load(spark, sf, "frontier"), NOW_MS, 15).rest
+
+
 @query
 def pull_batch(spark, sf):
     return lg.pull_batch(load(spark, sf, "frontier"), 25).popped

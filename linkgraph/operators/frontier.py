@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from linkgraph.functions.urls import LINK_URL, absolute_url, dotdot_count, host_of, is_web_url
 from linkgraph.operators.robots import DEFAULT_DELAY, effective_delay
 from linkgraph.operators.skew import order_splits, with_slot
+from linkgraph.session import drop_path, scratch_path, written
 
 # Operating constants of the crawl.
 MAX_DOTDOT = 3
@@ -184,25 +185,55 @@ def due(frontier: DataFrame, now_ms: int, horizon_ms: int = DUE_HORIZON_MS) -> D
     return frontier.where(is_due(now_ms, horizon_ms))
 
 
-def _pop(frontier: DataFrame, candidates: DataFrame, n: int, *order_cols: str) -> Popped:
-    popped = candidates.orderBy(*order_cols).limit(n)
-    return Popped(popped, frontier.join(popped.select("url"), "url", "left_anti"))
+def nth_key(rows: DataFrame, n: int, *order_cols: str) -> Row | None:
+    """The key of the n-th row in the order of ``order_cols``; None if there are not that many.
+
+    The keys are dealt by range and counted; only the range that holds the n-th key is numbered.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "keys")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(*order_cols).repartitionByRange(ranges, *order_cols)
+    keys = written(dealt.withColumn("range", F.spark_partition_id()), path)
+    try:
+        left = n
+        for row in sorted(keys.groupBy("range").count().collect()):
+            if left <= row["count"]:
+                rank = F.row_number().over(Window.partitionBy("range").orderBy(*order_cols))
+                inside = keys.where(F.col("range") == row["range"]).withColumn("rank", rank)
+                return inside.where(F.col("rank") == left).select(*order_cols).first()
+            left -= row["count"]
+        return None
+    finally:
+        drop_path(spark, path)
+
+
+def _pop(frontier: DataFrame, candidates: Column, n: int, *order_cols: str) -> Popped:
+    """The first ``n`` of the rows of ``frontier`` that are ``candidates``, cut off by their last key."""
+    if n <= 0:
+        return Popped(frontier.where(F.lit(False)), frontier)
+    candidates = F.coalesce(candidates, F.lit(False))
+    last = nth_key(frontier.where(candidates), n, *order_cols)
+    taken = candidates
+    if last is not None:
+        taken &= F.struct(*order_cols) <= F.struct(*[
+            F.lit(last[c]).cast(frontier.schema[c].dataType).alias(c) for c in order_cols])
+    return Popped(frontier.where(taken).orderBy(*order_cols), frontier.where(~taken))
 
 
 def pop_earliest(frontier: DataFrame, n: int) -> Popped:
     """The ``n`` URLs with the earliest times, and the rest."""
-    return _pop(frontier, frontier, n, "next_request_ms", "url")
+    return _pop(frontier, F.lit(True), n, "next_request_ms", "url")
 
 
 def pop_due(frontier: DataFrame, now_ms: int, n: int | None = None,
             horizon_ms: int = DUE_HORIZON_MS) -> Popped:
     """The earliest URLs as far as they are due (all of them without ``n``), and the rest."""
-    ready = due(frontier, now_ms, horizon_ms)
     if n is None:
-        return Popped(ready, frontier.where(~is_due(now_ms, horizon_ms)))
-    return _pop(frontier, ready, n, "next_request_ms", "url")
+        return Popped(due(frontier, now_ms, horizon_ms), frontier.where(~is_due(now_ms, horizon_ms)))
+    return _pop(frontier, is_due(now_ms, horizon_ms), n, "next_request_ms", "url")
 
 
 def pull_batch(frontier: DataFrame, n: int) -> Popped:
     """The first ``n`` URLs in key order, and the rest."""
-    return _pop(frontier, frontier, n, "url")
+    return _pop(frontier, F.lit(True), n, "url")

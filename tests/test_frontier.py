@@ -131,6 +131,20 @@ def urls(df):
     return [r.url for r in df.collect()]
 
 
+def test_pops_pass_no_single_task(spark):
+    rows = [(f"u{i % 700}", "h", (i * 37) % 50, "t") for i in range(700)]
+    frontier = spark.createDataFrame(rows, "url string, host string, next_request_ms bigint, content_type string")
+    for n in (1, 49, 350, 699, 700, 5000):
+        popped, rest = lg.pop_earliest(frontier, n)
+        first = sorted(rows, key=lambda r: (r[2], r[0]))
+        assert [r.url for r in popped.collect()] == [r[0] for r in first[:n]]
+        assert sorted(r.url for r in rest.collect()) == sorted(r[0] for r in first[n:])
+        for df in (popped, rest):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "TakeOrderedAndProject" not in plan and "SinglePartition" not in plan
+    assert lg.pop_earliest(frontier, 0).popped.isEmpty() and lg.pull_batch(frontier.limit(0), 3).popped.isEmpty()
+
+
 def test_pops(spark):
     popped, rest = lg.pop_earliest(queue(spark), 2)
     assert urls(popped) == ["d", "b"] and sorted(urls(rest)) == ["a", "c", "e"]
