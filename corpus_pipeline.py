@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkgraph.llm import decontaminate, language, mixing, ngram_join, pii
-from linkgraph.session import scratch_path, written
+from linkgraph.session import drop_path, scratch_path, written
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``; every stage is written to the shared folder and read again."""
+    """All stages in order over ``documents``; every stage is written to the shared folder and read again.
+
+    What a stage has read is deleted once the next table is there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    last = None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), scratch_path(spark, f"stage-{name}"))
+        path = scratch_path(spark, f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), path)
+        if last is not None:
+            drop_path(spark, last)
+        last = path
     return docs

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.llm.components import connected_components
+from linkgraph.llm.scratch import Scratch
 from linkgraph.session import scratch_path, written
 
 TILE = 4096  # classes in a tile, about
@@ -213,17 +214,19 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
                       scratch_path(spark, "classes"))
     total = classes.count()
     pivots = _pivots(classes, max(1, min(MAX_PIVOTS, total // (4 * tile)))) if total else {}
-    placed = written(_cells(classes, pivots), scratch_path(spark, "cells"))
+    scratch = Scratch(spark)
+    placed = scratch.write(_cells(classes, pivots), "cells")
     cells = placed.groupBy("length", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
     counts = spark.createDataFrame([(c["length"], c["cell"], -(-c["n"] // tile)) for c in cells],
                                    "length int, cell bigint, tiles bigint")
-    tiles = written(placed.join(F.broadcast(counts), ["length", "cell"])
+    tiles = scratch.write(placed.join(F.broadcast(counts), ["length", "cell"])
                     .withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")))
                     .groupBy("length", "cell", "tile").applyInPandas(
                         _pack, "length int, cell bigint, tile bigint, ids binary, sizes binary, vectors binary, "
-                               "q binary, scale binary, error binary"), scratch_path(spark, "tiles"))
+                               "q binary, scale binary, error binary"), "tiles")
     compared = written(_compared(_tile_pairs(spark, cells, pivots, threshold, tile), tiles, threshold),
                        scratch_path(spark, "compared"))
+    scratch.drop()
     roots = connected_components(compared.where("b IS NOT NULL"))
     links = compared.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
     of_class = (classes.join(links, F.col("class") == F.col("a"), "left")

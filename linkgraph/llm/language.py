@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from linkgraph.llm.batches import long_texts
+
 # Families of languages by two-letter code; a language that is not listed is in "other".
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is fy af lb yi",
@@ -161,7 +163,7 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Only the list of languages and the weights reach the driver: at most 64 languages and a vector of 4096
     numbers for each pair of one family. Without a labelled row the model knows no language.
     """
-    rows = training_rows(docs, id_col, text_col, lang_col, rows_per_language, max_languages)
+    rows = training_rows(long_texts(docs), id_col, text_col, lang_col, rows_per_language, max_languages)
     rows = rows.select("lang", family_of(F.col("lang")).alias("family"),
                        F.pandas_udf(_features, "binary")("text").alias("features")).where("features IS NOT NULL")
     rows = rows.persist()
@@ -199,4 +201,4 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     def predict(text: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.predict(value) for value in text], columns=["lang", "score"])
 
-    return docs.withColumn(out_col, F.pandas_udf(predict, "lang string, score double")(F.col(text_col)))
+    return long_texts(docs).withColumn(out_col, F.pandas_udf(predict, "lang string, score double")(F.col(text_col)))

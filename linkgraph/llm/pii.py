@@ -15,6 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from linkgraph.llm.batches import long_texts
+
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,added:boolean>>"
 
@@ -249,12 +251,12 @@ def with_personal_spans(docs: DataFrame, text_col: str = "text", out_col: str =
 
     A column that is already called ``out_col`` is replaced. Repeated rows each get their own result.
     """
-    return docs.withColumn(out_col, personal_spans(F.col(text_col)))
+    return long_texts(docs).withColumn(out_col, personal_spans(F.col(text_col)))
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with identifiers replaced in the text; a column of text lengths follows, null texts stay null."""
-    out = docs.withColumn(text_col, F.pandas_udf(_redacted, "string")(F.col(text_col)))
+    out = long_texts(docs).withColumn(text_col, F.pandas_udf(_redacted, "string")(F.col(text_col)))
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
         length = F.coalesce(F.length(text_col).cast(kind), F.col(length_col))
@@ -274,7 +276,7 @@ def joined_spans(spans: Column) -> Column:
 
 def span_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the counts and the hash of the plain identifiers, and all spans as text."""
-    found = docs.select(id_col, personal_spans(F.col(text_col)).alias("personal"))
+    found = long_texts(docs).select(id_col, personal_spans(F.col(text_col)).alias("personal"))
     plain = F.filter("personal", lambda s: ~s["added"])
     counts = [F.size(F.array_compact(F.transform(plain, _is_kind(kind)))).cast("bigint").alias(f"n_{kind}")
               for kind in KINDS]

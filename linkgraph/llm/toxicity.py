@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from linkgraph.llm.batches import long_texts
 from linkgraph.llm.words import hash_words, letters_apart, lowered, mix
 
 BITS = 20
@@ -95,7 +96,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         F.col(id_col).alias("id"), (F.col(label_col) > 0).alias("label"), place.alias("place"))
     total = known.count()
     chosen = known.where(F.col("place") * F.lit(float(total)) <= 1.5 * max_rows).orderBy("place").limit(max_rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = long_texts(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id")
 
     def features(text: pd.Series) -> pd.Series:
@@ -129,4 +130,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
         sums = [float(table[text_features(value, model.bits)].sum()) for value in text]
         return pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums) + model.bias, -30, 30))))
 
-    return docs.withColumn(out_col, F.pandas_udf(score, "double")(F.col(text_col).cast("binary")))
+    return long_texts(docs).withColumn(out_col, F.pandas_udf(score, "double")(F.col(text_col).cast("binary")))

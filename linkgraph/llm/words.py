@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes hashed at a time, so that a very long text needs no more memory than this many positions.
-PIECE = 1 << 20
+PIECE = 1 << 17
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
