@@ -15,6 +15,7 @@ over the tasks that read it.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,13 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from linkgraph.llm.batches import long_texts
 from linkgraph.llm.components import connected_components
+from linkgraph.llm.scratch import Scratch
 from linkgraph.llm.words import binary, hash_words, lowered, mix, shingles
 from linkgraph.session import scratch_path, written
 
-SPARE = 1  # partitions beyond those needed, so that an empty one does no harm
 MAX_SCHEMES = 4
-FLUSH = 1 << 20  # signatures a task gathers before it passes them on
+FLUSH = 1 << 18  # signatures a task gathers before it passes them on
 BROADCAST_IDS = 2_000_000  # ids of 8 bytes that may be broadcast; more are joined by a shuffle
 
 
@@ -54,7 +56,14 @@ def plan(most: int, num: int, den: int) -> tuple[int, int, int] | None:
         return 1, k + 2, k
     if k <= 8:
         return k // 2 + 1, 3, 1
-    return k + 1 + SPARE, 1, 0
+    return k + 1 + spare_parts(most, k, num, den), 1, 0
+
+
+def spare_parts(most: int, k: int, num: int, den: int) -> int:
+    """Partitions beyond those needed: as many as will seldom be empty in the smallest set of the two bands."""
+    least = most * num * num / (den * den)
+    empty = (k + 1) * math.exp(-least / (k + 1))
+    return math.ceil(empty + 3 * math.sqrt(empty)) + 1
 
 
 def _scheme(elements: np.ndarray, band: int, seed: int, shape: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +98,7 @@ def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
         shape = plan(most, num, den)
         if shape is None:
             continue
-        spare = SPARE if shape[2] == 0 else 0
+        spare = shape[0] - 1 - 2 * most * (den - num) // (den + num) if shape[2] == 0 else 0
         for seed in range(MAX_SCHEMES):
             names, empty = _scheme(elements, band, seed, shape)
             made.append(names[~empty])
@@ -128,15 +137,7 @@ def _pairs_by_run(names: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.
     return np.flatnonzero(first)[np.cumsum(first) - 1], first
 
 
-def _rows(names, nodes, leaders, leads) -> pa.RecordBatch:
-    """Rows to deal out: those that lead their name in the task by name, the others anywhere."""
-    key = np.where(leads, names.view(np.int64), nodes)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(key), pa.array(names.view(np.int64)), pa.array(nodes),
-         pa.array(leaders, mask=leads)], names=["key", "name", "node", "leader"])
-
-
-ROWS = "key bigint, name bigint, node bigint, leader bigint"
+ROWS = "name bigint, node bigint, leader bigint"
 
 
 def _signature_rows(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int) -> DataFrame:
@@ -151,7 +152,9 @@ def _signature_rows(docs: DataFrame, id_col: str, text_col: str, size: int, num:
         lead, first = _pairs_by_run(name, node)
         for at in range(0, len(name), 1 << 17):
             part = slice(at, at + (1 << 17))
-            yield _rows(name[part], node[part], node[lead[part]], first[part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(name[part].view(np.int64)), pa.array(node[part]), pa.array(node[lead[part]], mask=first[part])],
+                names=["name", "node", "leader"])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, nodes, gathered = [], [], 0
@@ -176,8 +179,8 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_name, last_node = None, None  # first row of the name at hand
         for batch in batches:
-            name, node = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            known = batch.column(3)
+            name, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            known = batch.column(2)
             told = ~np.asarray(known.is_null())
             leader = np.asarray(known.fill_null(0)).copy()
             open_rows = np.flatnonzero(~told)
@@ -193,7 +196,9 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(name[keep]), pa.array(leader[keep]), pa.array(node[keep])], names=["name", "leader", "node"])
 
-    dealt = signed.repartition(F.col("key")).sortWithinPartitions("name", "node")
+    # rows that lead their name within a task meet by name, the others know their leader and go anywhere
+    place = F.when(F.col("leader").isNull(), F.col("name")).otherwise(F.col("node"))
+    dealt = signed.repartition(place).sortWithinPartitions("name", "node")
     return dealt.mapInArrow(pair, "name bigint, leader bigint, node bigint")
 
 
@@ -268,12 +273,13 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return joined.where(near).mapInArrow(test, "a bigint, b bigint")
 
 
-BLOCK = 2048  # members of a group that meet in one task
+BLOCK = 4096  # members of a group that meet as one block
 
 
-def _possible_within(open_rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _possible_within(open_rows: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
     """Pairs of a group's members in different components that their sketches do not rule out.
 
+    With ``nearest`` only the pair of each member with the nearest sketch, at most one for each member.
     ``open_rows`` has ``name``, ``members``, ``node``, ``root``. A group of more than a block of members is dealt
     as pairs of blocks, so no task holds more than two blocks.
     """
@@ -287,12 +293,19 @@ def _possible_within(open_rows: DataFrame, sets: DataFrame, num: int, den: int)
             part = slice(at, at + step)
             apart = np.bitwise_count(rows[part, None, :] ^ rows[None, :, :]).sum(axis=2, dtype=np.int64)
             may = apart <= _differ_at_most(sizes[part, None], sizes[None, :], num, den)
-            may &= (roots[part, None] != roots[None, :]) & (nodes[part, None] < nodes[None, :])
+            may &= roots[part, None] != roots[None, :]
             if first != second:  # pairs within a block meet where the block meets itself
                 may &= blocks[part, None] != blocks[None, :]
-            i, j = np.nonzero(may)
+            if nearest:
+                j = np.where(may, apart, np.iinfo(np.int64).max).argmin(axis=1)
+                i = np.flatnonzero(may[np.arange(len(may)), j])
+                j = j[i]
+            else:
+                i, j = np.nonzero(may & (nodes[part, None] < nodes[None, :]))
+            one, two = nodes[part][i], nodes[j]
             if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[part][i]), pa.array(nodes[j])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["a", "b"])
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
@@ -341,32 +354,42 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows. Shingles and sets are told apart by 64-bit and 128-bit hashes.
     """
     spark = docs.sparkSession
-    base = written(text_sets(docs, id_col, text_col, size), scratch_path(spark, "sets"))
+    scratch = Scratch(spark)
+    base = written(text_sets(long_texts(docs), id_col, text_col, size), scratch_path(spark, "sets"))
     nodes = base.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
-    shared = written(shared_signatures(_signature_rows(docs, id_col, text_col, size, num, den)),
-                     scratch_path(spark, "shared"))
+    shared = scratch.write(shared_signatures(_signature_rows(docs, id_col, text_col, size, num, den)), "shared")
 
     pairs = shared.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
     candidates = pairs.select("a").union(pairs.select("b")).distinct().toDF("node")
-    reps = written(nodes.join(candidates, "node").where("least IS NOT NULL").select("least").distinct(),
-                   scratch_path(spark, "representatives"))
-    sets = written(_sets_of(docs, id_col, text_col, size, reps), scratch_path(spark, "elements"))
-    links = written(_similar(_possible(pairs, sets, num, den), sets, num, den), scratch_path(spark, "similar"))
+    reps = scratch.write(nodes.join(candidates, "node").where("least IS NOT NULL").select("least").distinct(), "representatives")
+    sets = scratch.write(_sets_of(docs, id_col, text_col, size, reps), "elements")
+    links = scratch.write(_similar(_possible(pairs, sets, num, den), sets, num, den), "similar")
     roots = connected_components(links)
 
-    # groups that still hold several components: compare across them, groups of the same members once
-    members = shared.select("name", "node").union(shared.select("name", F.col("leader").alias("node"))).distinct()
-    placed = members.join(roots, "node", "left").select("name", "node", F.coalesce("root", "node").alias("root"))
+    # groups that still hold several components: first join each set to its nearest across components, as that
+    # leaves few components, then compare all that is left
+    groups = scratch.write(shared.select("name", "node").union(shared.select("name", F.col("leader").alias("node")))
+                     .distinct(), "groups")
+    for nearest in (True, False):
+        open_rows = scratch.write(_open_groups(groups, roots), "open")
+        across = _possible_within(open_rows, sets, num, den, nearest)
+        more = scratch.write(_similar(across, sets, num, den), "more")
+        if more.limit(1).count():
+            links = links.union(more)
+            roots = connected_components(links)
+        groups = open_rows.select("name", "node")
+    scratch.drop()
+    return _numbered(base, nodes, roots)
+
+
+def _open_groups(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """``name``, ``members``, ``node``, ``root`` of the groups with several components; equal groups once."""
+    placed = groups.join(roots, "node", "left").select("name", "node", F.coalesce("root", "node").alias("root"))
     mixed = (placed.groupBy("name").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"),
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2"))
         .where("low < high").groupBy("members", "mark", "mark2").agg(F.min("name").alias("name")))
-    open_rows = placed.join(mixed.select("name", "members"), "name")
-    across = _possible_within(open_rows, sets, num, den).join(pairs, ["a", "b"], "left_anti")
-    more = written(_similar(across, sets, num, den), scratch_path(spark, "more"))
-    if more.limit(1).count():
-        roots = connected_components(links.union(more))
-    return _numbered(base, nodes, roots)
+    return placed.join(mixed.select("name", "members"), "name")
 
 
 def _numbered(base: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
