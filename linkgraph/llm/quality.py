@@ -17,12 +17,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-TEXT_SIZE = 1 << 12
+from linkgraph.llm.batches import long_texts
+
+TEXT_SIZE = 1 << 11
 PAGE_SIZE = 1 << 8
 PIECE = 1 << 18  # bytes of a text looked at together
-MAX_LABELLED = 4_000  # most labelled rows that are learned from
-MAX_POOL = 4_000  # most unlabelled rows that take part in the rounds
-ROUNDS = 4
+MAX_LABELLED = 3_000  # most labelled rows that are learned from
+MAX_POOL = 2_000  # most unlabelled rows that take part in the rounds
+ROUNDS = 3
 MARKS = 100  # most marks a view gives in a round, of each kind
 SURE = 0.95
 EDGES = (8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768, 65536)
@@ -83,17 +85,18 @@ def page_view(text: bytes | None, source: str | None, lang: str | None, n_chars:
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-4, steps: int = 150) -> tuple[np.ndarray, float]:
     """Logistic regression by accelerated gradient descent; rows count by ``weight``, both classes alike in sum."""
-    w, b = np.zeros(x.shape[1], dtype=np.float64), 0.0
+    w, b = np.zeros(x.shape[1], dtype=np.float32), np.float32(0)
     share = np.where(y == 1, weight[y == 1].sum(), weight[y == 0].sum())
-    weight = weight / np.maximum(share, 1e-12) / 2
-    last, momentum, rate = (w, b), (w, b), 4.0
+    weight = (weight / np.maximum(share, 1e-12) / 2).astype(np.float32)
+    y, l2 = y.astype(np.float32), np.float32(l2)  # single precision throughout, so that no step copies the rows
+    last, momentum, rate = (w, b), (w, b), np.float32(4)
     for step in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ momentum[0] + momentum[1], -30, 30)))
         error = weight * (p - y)
         new = (momentum[0] - rate * (x.T @ error + l2 * momentum[0]), momentum[1] - rate * error.sum())
-        push = step / (step + 3)
+        push = np.float32(step / (step + 3))
         momentum = tuple(n + push * (n - o) for n, o in zip(new, last))
         last = new
     return last[0].astype(np.float32), float(last[1])
@@ -197,7 +200,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
             .join(F.broadcast(known.where(F.col("place") * F.lit(float(rows)) <= 1.5 * max_pool).select("id")), "id", "left_anti")
             .orderBy("place").limit(max_pool).select("id", F.lit(-1).alias("label"), "place"))
     picked = chosen.unionByName(pool)
-    texts = docs.select(F.col(id_col).alias("id"), *_aliased(docs, text_col, source_col, lang_col, length_col))
+    texts = long_texts(docs).select(F.col(id_col).alias("id"), *_aliased(docs, text_col, source_col, lang_col, length_col))
     sample = texts.join(F.broadcast(picked), "id")
     ready = sample.select("label", "place", F.pandas_udf(_views, "text binary, page binary")(
         "t", "s", "g", "n").alias("view"))
@@ -252,4 +255,4 @@ def score_quality(docs: DataFrame, model: QualityModel | None, text_col: str = "
         return pd.DataFrame(rows, columns=["text", "page", "score"])
 
     found = F.pandas_udf(score, "text double, page double, score double")
-    return docs.withColumn(out_col, found(*_inputs(docs, text_col, source_col, lang_col, length_col)))
+    return long_texts(docs).withColumn(out_col, found(*_inputs(docs, text_col, source_col, lang_col, length_col)))
