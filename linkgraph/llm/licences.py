@@ -1,27 +1,33 @@
-"""Licences of files: sparse TF-IDF cosine of lines to templates, then inheritance from directories.
-
-Every line of a file is compared with short licence statements. A file whose name, or title, says that it is a
-licence file speaks for its directory; a file without a statement of its own takes the licence of the nearest
-directory above it that has one.
-
-Only DataFrame functions are used. Lines that cannot reach the threshold are skipped without being compared:
-the cosine of a line with a template is at most the share of the template's length that their common terms
-have, so a line needs at least one of the terms without which no template is covered far enough.
+"""Licences of files: sparse TF-IDF cosine of lines and windows to templates, then inheritance from directories.
+
+Every line of a file, and every two lines in a row, are compared with short licence statements. Headers and
+whole licences are longer templates: they are compared with windows of their own length over all of the text,
+an eighth of the length apart, and wherever their first term stands, whatever lines the text has. A file whose name, or title, says that it is a licence
+file speaks for its directory; a file without a statement of its own takes the licence of the nearest directory
+above it that has one.
+
+Only DataFrame functions are used. What cannot reach the threshold is skipped without being compared: the
+cosine of a piece with a template is at most the share of the template's length that their common terms have,
+so a line needs at least one of the terms without which no template is covered far enough, and a text, then
+two stretches of the template's length in a row, need terms that cover it far enough.
 """
 
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linkgraph.session import scratch_path, written
 
 THRESHOLD = 0.7
+LONGEST_LINE = 24  # terms of a template that is compared with lines; longer ones are compared with windows
+STEPS = 8  # windows that begin within the length of one
 FEW_DIRECTORIES = 200_000  # rows of a directory and a licence that may be broadcast
 
-# Statements by licence identifier.
-TEMPLATES = {
+# Statements by licence identifier, then headers, then whole licences.
+TEMPLATES: dict[str, list[str]] = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "SPDX-License-Identifier: MIT",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0",
@@ -31,9 +37,11 @@ TEMPLATES = {
     "GPL-2.0": ["This program is licensed under the GNU General Public License, version 2.",
                 "SPDX-License-Identifier: GPL-2.0-only", "GNU General Public License Version 2, June 1991"],
     "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.",
-                 "SPDX-License-Identifier: LGPL-3.0-or-later"],
+                 "SPDX-License-Identifier: LGPL-3.0-or-later",
+                 "GNU Lesser General Public License Version 3, 29 June 2007"],
     "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.",
-                 "SPDX-License-Identifier: AGPL-3.0-or-later"],
+                 "SPDX-License-Identifier: AGPL-3.0-or-later",
+                 "GNU Affero General Public License Version 3, 19 November 2007"],
     "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
     "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -47,6 +55,40 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "SPDX-License-Identifier: CC-BY-ND-4.0"],
 }
+_GNU_HEADER = (
+    "{0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General Public "
+    "License as published by the Free Software Foundation, either version {2} of the License, or (at your option) any "
+    "later version. {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General Public License "
+    "for more details. You should have received a copy of the GNU {1}General Public License along with this program. "
+    "If not, see <https://www.gnu.org/licenses/>.")
+_CC_HEADER = (
+    "This work is licensed under the Creative Commons {0} 4.0 International License. To view a copy of this license, "
+    "visit http://creativecommons.org/licenses/{1}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain "
+    "View, CA 94042, USA.")
+for _name, _lesser, _version in (("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"),
+                                 ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3")):
+    _header = _GNU_HEADER.format("This program", _lesser, _version)
+    TEMPLATES.setdefault(_name, []).extend([_header[:_header.index(" This program is distributed")], _header])
+for _name, _kind in (("CC-BY-4.0", "Attribution"), ("CC-BY-SA-4.0", "Attribution-ShareAlike"),
+                     ("CC-BY-NC-4.0", "Attribution-NonCommercial"), ("CC-BY-ND-4.0", "Attribution-NoDerivatives")):
+    TEMPLATES[_name].append(_CC_HEADER.format(_kind, _name[3:-4].lower()))
+TEMPLATES["MPL-2.0"].append(
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+TEMPLATES["Apache-2.0"].append(
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+    "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+    "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+    '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
+    "specific language governing permissions and limitations under the License.")
+TEMPLATES["MIT"].append(
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so, subject to the following conditions:")
+for _path in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+    TEMPLATES.setdefault(_path.stem, []).append(_path.read_text(encoding="utf-8"))
 LICENCE_NAME = r"(?i)(^|/)(un)?(licen[cs]e|copying|copyright|notice)[^/]*$"
 
 
@@ -56,11 +98,13 @@ def terms_of(text: Column) -> Column:
 
 
 def template_terms(spark: SparkSession, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
-    """``template``, ``licence``, ``term``, ``times``: a few hundred rows."""
+    """``template``, ``licence``, ``size`` (terms in all), ``head`` (the first one), ``term``, ``times``: a few thousand rows."""
     rows = [(f"{name} {i}", name, text) for name, texts in templates.items() for i, text in enumerate(texts)]
     table = spark.createDataFrame(rows, "template string, licence string, text string")
-    return (table.select("template", "licence", F.explode(terms_of(F.col("text"))).alias("term"))
-            .groupBy("template", "licence", "term").agg(F.count("*").alias("times")))
+    words = terms_of(F.col("text"))
+    return (table.select("template", "licence", F.size(words).alias("size"), words[0].alias("head"),
+                         F.explode(words).alias("term"))
+            .groupBy("template", "licence", "size", "head", "term").agg(F.count("*").alias("times")))
 
 
 def term_weights(files: DataFrame, known: DataFrame) -> tuple[list, float]:
@@ -70,7 +114,7 @@ def term_weights(files: DataFrame, known: DataFrame) -> tuple[list, float]:
     """
     vocabulary = [row["term"] for row in known.select("term").distinct().orderBy("term").collect()]
     total = files.count()
-    terms = F.array_intersect(terms_of(F.col("text")), F.array(*map(F.lit, vocabulary)))
+    terms = F.array_intersect(terms_of(F.col("text")), F.split(F.lit(" ".join(vocabulary)), " "))
     counts = files.select(F.explode(terms).alias("term")).groupBy("term").count().collect()
     found = {row["term"]: row["count"] for row in counts}
 
@@ -89,12 +133,17 @@ def telling_terms(templates: list, weights: dict[str, float], threshold: float)
     for row in templates:
         vectors.setdefault(row["template"], {})[row["term"]] = row["times"] * weights[row["term"]]
     squares = {name: sum(v * v for v in vector.values()) for name, vector in vectors.items()}
+    holders: dict[str, list[str]] = {}
+    for name, vector in vectors.items():
+        for term in vector:
+            holders.setdefault(term, []).append(name)
     common: set[str] = set()
+    covered = dict.fromkeys(vectors, 0.0)
     for term in sorted(weights, key=lambda t: (weights[t], t)):
-        trial = common | {term}
-        if all(sum(v * v for t, v in vector.items() if t in trial) < 0.999 * threshold ** 2 * squares[name]
-               for name, vector in vectors.items()):
-            common = trial
+        trial = {name: covered[name] + vectors[name][term] ** 2 for name in holders.get(term, [])}
+        if all(square < 0.999 * threshold ** 2 * squares[name] for name, square in trial.items()):
+            common.add(term)
+            covered.update(trial)
     return sorted(set(weights) - common)
 
 
@@ -111,6 +160,72 @@ def ancestors(folder: Column) -> Column:
         F.concat_ws("/", F.slice(parts, 1, i)).alias("folder"), i.alias("depth")))
 
 
+def line_terms(files: DataFrame, telling: list[str]) -> DataFrame:
+    """``file``, ``at``, ``in_title``, ``term``, ``line_times`` of lines, of two lines in a row, and of titles."""
+    pattern = r"(^|[^a-z0-9])(" + "|".join(telling) + r")($|[^a-z0-9])"
+    worded = F.filter(F.split(F.lower("text"), "\n"), lambda line: line.rlike("[a-z0-9]"))
+    lines = F.when(F.lower("text").rlike(pattern), worded)
+    texts = files.select("file", "title", lines.alias("lines"))
+    pairs = F.zip_with(F.col("lines"), F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(0))),
+                       lambda one, two: F.concat_ws("\n", one, two))
+    found = F.filter(F.concat("lines", pairs), lambda line: line.rlike(pattern))
+    title = F.filter(F.array(F.lower("title")), lambda line: line.rlike(pattern))
+    marked = F.concat(
+        F.transform(F.coalesce(found, F.array().cast("array<string>")),
+                    lambda s: F.struct(s.alias("line"), F.lit(False).alias("in_title"))),
+        F.transform(title, lambda s: F.struct(s.alias("line"), F.lit(True).alias("in_title"))))
+    candidates = (texts.select("file", F.posexplode(marked).alias("at", "one"))
+                  .select("file", "at", "one.in_title", F.explode(terms_of(F.col("one.line"))).alias("term")))
+    return candidates.groupBy("file", "at", "in_title", "term").agg(F.count("*").alias("line_times"))
+
+
+def window_terms(files: DataFrame, weighted: DataFrame, telling: list[str], threshold: float) -> DataFrame:
+    """``file``, ``template``, ``at``, ``in_title``, ``term``, ``line_times`` of windows over whole texts.
+
+    A window is as long as its template and begins a multiple of an eighth of that length into the text, or where
+    the text has the template's first term, so that an exact copy meets a window that holds just it.
+    ``weighted`` has the long templates. A window lies within two stretches of the template's length; only those
+    are cut into windows whose terms cover the template far enough.
+    """
+    spark = files.sparkSession
+    enough = F.sum(F.col("value") ** 2) >= 0.999 * threshold ** 2 * F.first("template_length") ** 2
+    texts = files.select("file", terms_of(F.col("text")).alias("words")).where(
+        F.arrays_overlap("words", F.split(F.lit(" ".join(telling)), " ")))
+    table = F.broadcast(weighted.select("template", "size", "head", "term", "value", "template_length"))
+    pairs = written(texts.select("file", F.explode(F.array_distinct("words")).alias("term")).join(table, "term")
+                    .groupBy("file", "template", "size", "head").agg(enough.alias("enough")).where("enough").drop("enough"),
+                    scratch_path(spark, "near"))
+    places = (texts.join(pairs, "file").select("file", "template", "size", "head", F.posexplode("words").alias("place", "term"))
+              .join(table.drop("size", "head"), ["template", "term"])
+              .withColumn("first", F.explode(F.array(F.floor(F.col("place") / F.col("size")) - 1,
+                                                     F.floor(F.col("place") / F.col("size")))))
+              .where("first >= 0").groupBy("file", "template", "size", "head", "first", "term")
+              .agg(F.first("value").alias("value"), F.first("template_length").alias("template_length")))
+    spots = written(places.groupBy("file", "template", "size", "head", "first").agg(enough.alias("enough"))
+                    .where("enough").drop("enough"), scratch_path(spark, "spots"))
+    begin = F.col("first") * F.col("size")
+    stretch = F.slice("words", (begin + 1).cast("int"), F.col("size"))
+    steps = F.greatest(F.floor(F.col("size") / STEPS), F.lit(1))
+    places = F.transform(stretch, lambda word, i: F.when((word == F.col("head")) | (i % steps == 0), begin + i))
+    starts = F.filter(places, lambda at: at.isNotNull())
+    return (texts.join(spots, "file").select("file", "template", "size", "words", F.explode(starts).alias("at"))
+            .select("file", "template", "at", F.explode(F.slice(
+                "words", (F.col("at") + 1).cast("int"), F.col("size"))).alias("term"))
+            .groupBy("file", "template", "at", F.lit(False).alias("in_title"), "term")
+            .agg(F.count("*").alias("line_times")))
+
+
+def cosines(counted: DataFrame, weighted: DataFrame, idf: Column, keys: list[str], on: list[str]) -> DataFrame:
+    """``file``, ``licence``, ``cosine``, ``in_title``: pieces, named by ``keys``, with the templates they meet ``on``."""
+    length = counted.groupBy(keys).agg(F.sqrt(F.sum((F.col("line_times") * idf) ** 2)).alias("line_length"))
+    products = (counted.drop("idf").join(F.broadcast(weighted), on)
+                .groupBy(*{*keys, "file", "in_title", "licence", "template"})
+                .agg(F.sum(F.col("line_times") * F.col("idf") * F.col("value")).alias("product"),
+                     F.first("template_length").alias("template_length")))
+    return products.join(length, keys).select("file", "licence", F.round(
+        F.col("product") / (F.col("line_length") * F.col("template_length")), 9).alias("cosine"), "in_title")
+
+
 def own_licences(files: DataFrame, threshold: float = THRESHOLD,
                  templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """``file``, ``licence``, ``cosine``, ``in_title``: the best statement of every file that has one.
@@ -120,30 +235,23 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD,
     spark = files.sparkSession
     known = written(template_terms(spark, templates), scratch_path(spark, "templates"))
     weights, unknown = term_weights(files, known)
-    telling = telling_terms(known.collect(), dict(weights), threshold)
     weight_table = spark.createDataFrame(weights, "term string, idf double")
     weighted = known.join(F.broadcast(weight_table), "term").withColumn("value", F.col("times") * F.col("idf"))
     lengths = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("value") ** 2)).alias("template_length"))
-    weighted = weighted.join(F.broadcast(lengths), "template")
-
-    pattern = r"(^|[^a-z0-9])(" + "|".join(telling) + r")($|[^a-z0-9])"
-    lines = F.filter(F.split(F.lower("text"), "\n"), lambda line: line.rlike(pattern))
-    title = F.filter(F.array(F.lower("title")), lambda line: line.rlike(pattern))
-    marked = F.concat(F.transform(lines, lambda s: F.struct(s.alias("line"), F.lit(False).alias("in_title"))),
-                      F.transform(title, lambda s: F.struct(s.alias("line"), F.lit(True).alias("in_title"))))
-    candidates = (files.select("file", F.posexplode(F.coalesce(marked, F.array())).alias("at", "one"))
-                  .select("file", "at", "one.in_title", F.explode(terms_of(F.col("one.line"))).alias("term")))
-    counted = written(candidates.groupBy("file", "at", "in_title", "term").agg(F.count("*").alias("line_times")),
-                      scratch_path(spark, "lines"))
-    idf = counted.join(F.broadcast(weight_table), "term", "left")
-    length = idf.groupBy("file", "at").agg(
-        F.sqrt(F.sum((F.col("line_times") * F.coalesce("idf", F.lit(unknown))) ** 2)).alias("line_length"))
-    products = (counted.join(F.broadcast(weighted), "term")
-                .groupBy("file", "at", "in_title", "licence", "template")
-                .agg(F.sum(F.col("line_times") * F.col("idf") * F.col("value")).alias("product"),
-                     F.first("template_length").alias("template_length")))
-    scored = products.join(length, ["file", "at"]).withColumn(
-        "cosine", F.round(F.col("product") / (F.col("line_length") * F.col("template_length")), 9))
+    weighted = written(weighted.join(F.broadcast(lengths), "template"), scratch_path(spark, "weighted"))
+    found = []
+    for long in (False, True):
+        some = weighted.where((F.col("size") > LONGEST_LINE) == long)
+        rows = some.collect()
+        if not rows:
+            continue
+        telling = telling_terms(rows, {t: w for t, w in weights if t in {row["term"] for row in rows}}, threshold)
+        counted = window_terms(files, some, telling, threshold) if long else line_terms(files, telling)
+        counted = written(counted, scratch_path(spark, "windows" if long else "lines"))
+        idf = counted.join(F.broadcast(weight_table), "term", "left")
+        keys, on = (["file", "template", "at"], ["template", "term"]) if long else (["file", "at"], ["term"])
+        found.append(cosines(idf, some, F.coalesce("idf", F.lit(unknown)), keys, on))
+    scored = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     best = F.struct((-F.col("cosine")).alias("less"), "licence")
     return (scored.where(F.col("cosine") >= threshold).groupBy("file").agg(
         F.min(best).alias("best"), F.max("in_title").alias("in_title"))

@@ -185,3 +185,29 @@ def test_cosines_equal_brute_force(spark):
             want[i] = (best[1], -best[0])
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert [v[1] for _, v in sorted(got.items())] == pytest.approx([v[1] for _, v in sorted(want.items())], abs=1e-8)
+
+
+MIT_PARAGRAPH = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+    "permit persons to whom the Software is furnished to do so, subject to the following conditions:")
+GPL_PARAGRAPH = (
+    "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public "
+    "License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any "
+    "later version.")
+
+
+def test_headers_and_whole_licences_are_found(spark):
+    prose = "so es war und ist der weg in die stadt\n" * 60
+    source = "import os\n\n\ndef walk(top):\n    return [x for x in os.listdir(top)]\n" * 40
+    rows = [(1, "a/LICENSE", f"Copyright (c) 2020 Somebody\n\n{MIT_PARAGRAPH}\n", None), (2, "a/b/code.py", source, None),
+            (3, None, prose + GPL_PARAGRAPH.replace("\n", " ") + prose, None),
+            (4, None, source + "\n".join(f"# {line}" for line in GPL_PARAGRAPH.split("\n")) + "\n" + source, None),
+            (5, "c/x.py", prose, None), (6, None, "Licensed under the Apache License,\nVersion 2.0.", None),
+            (7, None, "GNU AFFERO GENERAL PUBLIC LICENSE\n  Version 3, 19 November 2007\n" + prose, None)]
+    rows += [(10 + i, None, prose + source, None) for i in range(40)]
+    files = spark.createDataFrame(rows, "file bigint, path string, text string, title string")
+    got = {r["file"]: (r["licence"], r["origin"]) for r in licences.scan_licences(files).collect() if r["licence"]}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "own"),
+                   6: ("Apache-2.0", "own"), 7: ("AGPL-3.0", "own")}
