@@ -14,7 +14,6 @@ two stretches of the template's length in a row, need terms that cover it far en
 
 from __future__ import annotations
 
-import math
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,6 +23,7 @@ from linkgraph.session import scratch_path, written
 THRESHOLD = 0.7
 LONGEST_LINE = 24  # terms of a template that is compared with lines; longer ones are compared with windows
 STEPS = 8  # windows that begin within the length of one
+FEW_TERMS = 200_000  # weights of terms that may be broadcast
 FEW_DIRECTORIES = 200_000  # rows of a directory and a licence that may be broadcast
 
 # Statements by licence identifier, then headers, then whole licences.
@@ -107,21 +107,16 @@ def template_terms(spark: SparkSession, templates: dict[str, list[str]] = TEMPLA
             .groupBy("template", "licence", "size", "head", "term").agg(F.count("*").alias("times")))
 
 
-def term_weights(files: DataFrame, known: DataFrame) -> tuple[list, float]:
-    """Inverse file frequencies of the templates' terms over all files, and that of a term no template has.
+def file_counts(files: DataFrame) -> DataFrame:
+    """``term``, ``n``: in how many files every term occurs."""
+    return (files.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
+            .groupBy("term").agg(F.count("*").alias("n")))
 
-    ln((1 + files) / (1 + files with the term)) + 1; a term outside the templates counts as one no file has.
-    """
-    vocabulary = [row["term"] for row in known.select("term").distinct().orderBy("term").collect()]
-    total = files.count()
-    terms = F.array_intersect(terms_of(F.col("text")), F.split(F.lit(" ".join(vocabulary)), " "))
-    counts = files.select(F.explode(terms).alias("term")).groupBy("term").count().collect()
-    found = {row["term"]: row["count"] for row in counts}
-
-    def weight(n: int) -> float:
-        return math.log((1 + total) / (1 + n)) + 1
 
-    return [(term, weight(found.get(term, 0))) for term in vocabulary], weight(0)
+def weighed(terms: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """``term``, ``idf`` of the distinct ``term`` of ``terms``: ln((1 + files) / (1 + files with the term)) + 1."""
+    share = F.lit(1.0 + total) / (1 + F.coalesce("n", F.lit(0)))
+    return terms.select("term").distinct().join(counts, "term", "left").select("term", (F.log(share) + 1).alias("idf"))
 
 
 def telling_terms(templates: list, weights: dict[str, float], threshold: float) -> list[str]:
@@ -215,9 +210,9 @@ def window_terms(files: DataFrame, weighted: DataFrame, telling: list[str], thre
             .agg(F.count("*").alias("line_times")))
 
 
-def cosines(counted: DataFrame, weighted: DataFrame, idf: Column, keys: list[str], on: list[str]) -> DataFrame:
+def cosines(counted: DataFrame, weighted: DataFrame, keys: list[str], on: list[str]) -> DataFrame:
     """``file``, ``licence``, ``cosine``, ``in_title``: pieces, named by ``keys``, with the templates they meet ``on``."""
-    length = counted.groupBy(keys).agg(F.sqrt(F.sum((F.col("line_times") * idf) ** 2)).alias("line_length"))
+    length = counted.groupBy(keys).agg(F.sqrt(F.sum((F.col("line_times") * F.col("idf")) ** 2)).alias("line_length"))
     products = (counted.drop("idf").join(F.broadcast(weighted), on)
                 .groupBy(*{*keys, "file", "in_title", "licence", "template"})
                 .agg(F.sum(F.col("line_times") * F.col("idf") * F.col("value")).alias("product"),
@@ -234,8 +229,9 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD,
     """
     spark = files.sparkSession
     known = written(template_terms(spark, templates), scratch_path(spark, "templates"))
-    weights, unknown = term_weights(files, known)
-    weight_table = spark.createDataFrame(weights, "term string, idf double")
+    counts, total = written(file_counts(files), scratch_path(spark, "counts")), files.count()
+    weight_table = written(weighed(known, counts, total), scratch_path(spark, "weights"))
+    weights = weight_table.collect()
     weighted = known.join(F.broadcast(weight_table), "term").withColumn("value", F.col("times") * F.col("idf"))
     lengths = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("value") ** 2)).alias("template_length"))
     weighted = written(weighted.join(F.broadcast(lengths), "template"), scratch_path(spark, "weighted"))
@@ -248,9 +244,10 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD,
         telling = telling_terms(rows, {t: w for t, w in weights if t in {row["term"] for row in rows}}, threshold)
         counted = window_terms(files, some, telling, threshold) if long else line_terms(files, telling)
         counted = written(counted, scratch_path(spark, "windows" if long else "lines"))
-        idf = counted.join(F.broadcast(weight_table), "term", "left")
+        own = written(weighed(counted, counts, total), scratch_path(spark, "weights"))
+        idf = counted.join(F.broadcast(own) if own.limit(FEW_TERMS + 1).count() <= FEW_TERMS else own, "term")
         keys, on = (["file", "template", "at"], ["template", "term"]) if long else (["file", "at"], ["term"])
-        found.append(cosines(idf, some, F.coalesce("idf", F.lit(unknown)), keys, on))
+        found.append(cosines(idf, some, keys, on))
     scored = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     best = F.struct((-F.col("cosine")).alias("less"), "licence")
     return (scored.where(F.col("cosine") >= threshold).groupBy("file").agg(

@@ -211,3 +211,11 @@ def test_headers_and_whole_licences_are_found(spark):
     got = {r["file"]: (r["licence"], r["origin"]) for r in licences.scan_licences(files).collect() if r["licence"]}
     assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "own"),
                    6: ("Apache-2.0", "own"), 7: ("AGPL-3.0", "own")}
+
+
+def test_ordinary_words_do_not_weigh_more_in_more_files(spark):
+    rows = [(1, None, "Es wurde auch hier released und ist under the MIT License.", None)]
+    rows += [(10 + i, None, "es wurde auch hier\nund ist so" if i % 2 else "other words", None) for i in range(4000)]
+    files = spark.createDataFrame(rows, "file bigint, path string, text string, title string")
+    got = [(r["file"], r["licence"]) for r in licences.own_licences(files).collect()]
+    assert got == [(1, "MIT")]
