@@ -38,14 +38,13 @@ DIMENSIONS = 1 << 12
 LONGEST_GRAM = 3
 PIECE = 1 << 18  # characters counted at a time
 ROWS_PER_LANGUAGE = 400  # most rows of a language that the machines are fitted on
-MAX_LANGUAGES = 64  # most languages that are learned, the most frequent ones
 _cache: dict = {}
 
 
 def _letters() -> np.ndarray:
-    """For every character of the basic plane, whether it is a letter."""
+    """For every character, whether it is a letter."""
     if "letters" not in _cache:
-        _cache["letters"] = np.fromiter((chr(c).isalpha() for c in range(0x10000)), dtype=bool, count=0x10000)
+        _cache["letters"] = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
     return _cache["letters"]
 
 
@@ -56,7 +55,7 @@ def text_features(text: str | None) -> np.ndarray | None:
     for start in range(0, len(text), PIECE):
         piece = text[start:start + PIECE].lower()
         codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        letter = _letters()[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+        letter = _letters()[codes]
         seen = seen or bool(letter.any())
         codes = np.concatenate([tail, np.where(letter, codes, 32)])
         for size in range(1, LONGEST_GRAM + 1):
@@ -130,11 +129,12 @@ def family_of(language: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
-                  rows_per_language: int, max_languages: int) -> DataFrame:
-    """At most ``rows_per_language`` rows with letters for each of the most frequent languages, chosen by hash."""
+                  rows_per_language: int, max_languages: int | None = None) -> DataFrame:
+    """At most ``rows_per_language`` rows with letters for each language, or each of the most frequent ones, by hash."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = (known.groupBy(F.col(lang_col).alias("lang")).count()
-              .orderBy(F.desc("count"), "lang").limit(max_languages))
+    counts = known.groupBy(F.col(lang_col).alias("lang")).count()
+    if max_languages is not None:
+        counts = counts.orderBy(F.desc("count"), "lang").limit(max_languages)
     place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
     thinned = (known.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), place.alias("place"))
                .join(F.broadcast(counts), "lang")
@@ -157,13 +157,13 @@ def _fit_group(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                 rows_per_language: int = ROWS_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
-    """Fit the machines on a bounded sample of the rows that have a language and a letter.
+                 rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
+    """Fit the machines on a bounded sample of the rows of every language, those that have a letter.
 
-    Only the list of languages and the weights reach the driver: at most 64 languages and a vector of 4096
-    numbers for each pair of one family. Without a labelled row the model knows no language.
+    Only the list of languages and the weights reach the driver: a vector of 4096 numbers for each pair of
+    families and each pair of languages of one family. Without a labelled row the model knows no language.
     """
-    rows = training_rows(long_texts(docs), id_col, text_col, lang_col, rows_per_language, max_languages)
+    rows = training_rows(long_texts(docs), id_col, text_col, lang_col, rows_per_language)
     rows = rows.select("lang", family_of(F.col("lang")).alias("family"),
                        F.pandas_udf(_features, "binary")("text").alias("features")).where("features IS NOT NULL")
     rows = rows.persist()

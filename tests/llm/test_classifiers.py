@@ -124,3 +124,14 @@ def test_held_out_rows_of_the_queries(spark, name, column):
     both = found.join(truth[1].select("doc_id", F.col(truth[0]).alias("truth")), "doc_id").where("held_out")
     right = both.agg(F.avg((F.col(column) == F.col("truth")).cast("int"))).first()[0]
     assert right >= 0.9
+
+
+def test_no_language_is_left_out_of_training(spark):
+    rows = [(i, f"text {i}", f"l{i % 70}") for i in range(210)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(language.fit_language(docs, rows_per_language=2).families["other"]) == 70
+
+
+def test_only_letters_are_letters_beyond_the_basic_plane():
+    assert language.text_features("\U0001F600 \U0001F680") is None
+    assert language.text_features("\U00020000") is not None and language.text_features("\U0001D400") is not None
