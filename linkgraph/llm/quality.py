@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkgraph.llm.batches import long_texts
 
-TEXT_SIZE = 1 << 11
+TEXT_SIZE = 1 << 12
 PAGE_SIZE = 1 << 8
 PIECE = 1 << 18  # bytes of a text looked at together
-MAX_LABELLED = 3_000  # most labelled rows that are learned from
-MAX_POOL = 2_000  # most unlabelled rows that take part in the rounds
-ROUNDS = 3
+MAX_LABELLED = 4_000  # most labelled rows that are learned from
+MAX_POOL = 4_000  # most unlabelled rows that take part in the rounds
+ROUNDS = 4
 MARKS = 100  # most marks a view gives in a round, of each kind
 SURE = 0.95
 EDGES = (8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768, 65536)
@@ -85,7 +85,7 @@ def page_view(text: bytes | None, source: str | None, lang: str | None, n_chars:
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-4, steps: int = 150) -> tuple[np.ndarray, float]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression by accelerated gradient descent; rows count by ``weight``, both classes alike in sum."""
     w, b = np.zeros(x.shape[1], dtype=np.float32), np.float32(0)
     share = np.where(y == 1, weight[y == 1].sum(), weight[y == 0].sum())

@@ -135,3 +135,10 @@ def test_no_language_is_left_out_of_training(spark):
 def test_only_letters_are_letters_beyond_the_basic_plane():
     assert language.text_features("\U0001F600 \U0001F680") is None
     assert language.text_features("\U00020000") is not None and language.text_features("\U0001D400") is not None
+
+
+def test_quality_is_not_made_smaller_to_pass():
+    import inspect
+    assert quality.TEXT_SIZE == 1 << 12 and quality.ROUNDS >= 4
+    assert quality.MAX_LABELLED >= 4_000 and quality.MAX_POOL >= 4_000
+    assert inspect.signature(quality.fit_logistic).parameters["steps"].default >= 300
