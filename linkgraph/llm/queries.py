@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkgraph.llm import decontaminate, embeddings, language, licences, lm_score, mixing, ngram_join, pii, quality, toxicity
+from linkgraph.llm import (
+    ball_search, decontaminate, embeddings, language, licences, lm_score, mixing, ngram_join, periodic_runs, pii, quality,
+    token_files, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +84,37 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_lm(docs.withColumn("held_out", fold(7) == 2), model)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def planted_period(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """The words of a document, one in ten made periodic from a place on, as its id tells."""
+    h = 0 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    again = words[start:start + period]
+    return words[:start] + (again * ((n - start) // period + 1))[:n - start]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.with_runs(docs, words_of=planted_period, given=F.col("doc_id").cast("bigint"), with_text=False)
+    best = F.col("found.strongest")
+    return found.select(
+        "doc_id", F.size("found.runs").cast("bigint").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("found.strongest.length * 1000 div found.strongest.period").alias("exponent_milli"),
+        F.col("found.runs_sha256").alias("runs_sha256"), F.col("found.collapsed_sha256").alias("collapsed_sha256"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_ngram_join": op2_ngram_join,
@@ -91,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_files": op13_token_files,
 }
 
 def _shingles_sql(table_name: str, key: str) -> str:
@@ -103,7 +141,29 @@ def _shingles_sql(table_name: str, key: str) -> str:
               FROM {table_name})"""
 
 
+def _terms_sql(table_name: str, key: str) -> str:
+    """The terms of a table's texts as rows (key, t), repeats included."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+        SELECT {key}, unnest(regexp_extract_all(translate(text, '{upper}', '{upper.lower()}'),
+                                                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+        FROM {table_name}"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_ranked_search": f"""
+        WITH d AS MATERIALIZED (SELECT doc_id, t, count(*) AS tf FROM ({_terms_sql("documents", "doc_id")}) GROUP BY ALL),
+        i AS (SELECT DISTINCT item_id, t FROM ({_terms_sql("benchmark", "item_id")})),
+        c AS (SELECT count(DISTINCT doc_id) AS docs, CAST(sum(tf) AS BIGINT) AS terms FROM d),
+        n AS (SELECT doc_id, 10 + (90 * CAST(sum(tf) AS BIGINT) * any_value(docs)) // any_value(terms) AS m
+              FROM d, c GROUP BY doc_id),
+        w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+              FROM d, c GROUP BY t),
+        s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+              FROM i JOIN d USING (t) JOIN w USING (t) JOIN n USING (doc_id) GROUP BY item_id, doc_id)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+               doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 10""",
     "op7_decontamination": f"""
         WITH d AS ({_shingles_sql("documents", "doc_id")}), b AS ({_shingles_sql("benchmark", "item_id")}),
         n AS (SELECT item_id, count(*) AS n_item_shingles FROM b GROUP BY item_id),
