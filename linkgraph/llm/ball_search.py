@@ -193,10 +193,12 @@ def _holding(projected: DataFrame, size: int) -> np.ndarray:
 def _best(projected: DataFrame, corpus, k: int) -> DataFrame:
     """``item`` (its place in the group), ``doc_id``, ``score``: the best ``k`` of every task."""
 
+    leaf = LEAF
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, all_terms, weight, flat, starts, sizes = corpus.value
         best: list[list] = [[] for _ in starts]
-        rows = int(max(2 * LEAF, min(4096, BLOCK_NUMBERS // len(weight))))
+        rows = int(max(2 * leaf, min(4096, BLOCK_NUMBERS // len(weight))))
         for batch in batches:
             for low in range(0, batch.num_rows, rows):
                 own = batch.slice(low, rows)
@@ -207,7 +209,7 @@ def _best(projected: DataFrame, corpus, k: int) -> DataFrame:
                 times = own.column(3).flatten().to_numpy(zero_copy_only=False)
                 matrix = np.zeros((own.num_rows, len(weight)))
                 matrix[row, at] = weight[at] * parts(times, length[row], docs, all_terms)
-                search_block(Balls(matrix), ids, flat, starts, sizes, best, k)
+                search_block(Balls(matrix, leaf), ids, flat, starts, sizes, best, k)
         found = [(item, -negative if known else None, score) for item, heap in enumerate(best)
                  for score, known, negative in heap]
         item, doc_id, score = zip(*found) if found else ((), (), ())

@@ -234,8 +234,10 @@ def with_runs(docs: DataFrame, out_col: str = "found", text_col: str = "text", l
     ``words_of`` changes the words of a text before that, by the value of ``given``.
     """
     kept = [c for c in docs.columns if c != out_col]
-    rows = long_texts(docs).select(F.col(text_col).cast("string").alias("__text"),
-                                   (F.lit(None).cast("bigint") if given is None else given).alias("__given"), *kept)
+    value = F.lit(None).cast("bigint") if given is None else given
+    # the other columns travel as one, so that none can have the name of another
+    rows = long_texts(docs).select(F.col(text_col).cast("string").alias("text"), value.alias("given"),
+                                   F.struct(F.lit(0).alias("__"), *kept).alias("row"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,15 +262,17 @@ def with_runs(docs: DataFrame, out_col: str = "found", text_col: str = "text", l
             run = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
             kind = pa.struct([("n_words", pa.int64()), ("runs", pa.list_(run)), ("collapsed", pa.string()),
                               ("collapsed_sha256", pa.string()), ("runs_sha256", pa.string()), ("strongest", run)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(out, kind)], names=[*kept, out_col])
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(out, kind)], names=["row", "found"])
 
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out_col, FOUND)])
-    return rows.mapInArrow(find, schema)
+    schema = T.StructType([rows.schema["row"], T.StructField("found", FOUND)])
+    return rows.mapInArrow(find, schema).select(
+        *[F.col("row")[c].alias(c) for c in kept], F.col("found").alias(out_col))
 
 
 def collapse_runs(docs: DataFrame, text_col: str = "text", least: int = LEAST_WORDS,
                   times: int = LEAST_TIMES) -> DataFrame:
     """``docs`` with the repeats of every run cut from its text; texts without runs stay as they are."""
-    found = with_runs(docs, "__found", text_col, least, times)
-    text = F.when(F.size("__found.runs") > 0, F.col("__found.collapsed")).otherwise(F.col(text_col))
-    return found.withColumn(text_col, text).select(*docs.columns)
+    inner = docs.select(F.col(text_col).alias("text"), F.struct(F.lit(0).alias("__"), *docs.columns).alias("row"))
+    found = with_runs(inner, "found", "text", least, times)
+    text = F.when(F.size("found.runs") > 0, F.col("found.collapsed")).otherwise(F.col("text"))
+    return found.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
