@@ -15,7 +15,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,11 +31,30 @@ from linkgraph.session import drop_path, scratch_path, written
 
 SEGMENT_IDS = 1 << 20  # a segment ends with the document that reaches so many ids
 SEGMENTS_PER_FILE = 8
-MEMO = 1 << 18  # pieces a worker remembers; beyond, it forgets all and goes on
+MEMO = 1 << 20  # pieces a worker remembers, about 200 MB; beyond, it forgets all and goes on
 FILES_BY_NAME = 10_000  # files that are opened by name; more are found by a join
 
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-_PLAIN = re.compile(r"( ?[A-Za-z]+)([.,;:!?]*)")
+# Stretches that the byte-level pattern takes as one wherever they stand, but for apostrophes and wide white space.
+_STRETCH = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++|[0-9]++|[!-&(-/:-@\\[-`{-~]++|\n(?=[!-~])"
+_STRETCHES = re.compile(_STRETCH)
+_SIMPLE = re.compile(f"(?:{_STRETCH})++")
+
+
+def _spelling() -> dict[int, int]:
+    """How a byte-level vocabulary spells bytes: visible ones as themselves, the others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in visible]
+    return {byte: byte if byte in visible else 256 + hidden.index(byte) for byte in range(256)}
+
+
+class _SplitElsewhere(Exception):
+    """A space beside other white space: the text cannot be cut there."""
+
+
+def _worker_memory() -> dict:
+    """What a Python worker keeps from task to task."""
+    return vars(sys.modules.setdefault("linkgraph_worker_memory", types.ModuleType("linkgraph_worker_memory")))
 
 
 def _cuts_at_spaces(settings: dict) -> bool:
@@ -64,39 +86,72 @@ def text_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     if not _cuts_at_spaces(settings):
         return ids
 
-    model, memo, runs = tokenizer.model, {}, {}
-
-    def run(letters: str) -> bytes:
-        """One piece of plain letters or plain signs, with the space before it as the model spells it."""
-        spelled = letters.replace(" ", "Ġ")
-        return b"".join(token.id.to_bytes(4, "little") for token in model.tokenize(spelled))
-
-    def learn(pieces: list[str]) -> None:
-        rest = []
-        for piece in pieces:
-            plain = _PLAIN.fullmatch(piece)
-            if plain is None:
-                rest.append(piece)
-                continue
-            letters, signs = plain.groups()
-            if signs not in runs:
-                if len(runs) >= MEMO:
-                    runs.clear()
-                runs[signs] = run(signs) if signs else b""
-            memo[piece] = run(letters) + runs[signs]
-        memo.update(zip(rest, ids(rest)))
+    model, spelling = tokenizer.model, _spelling()
+    marks = [token["content"] for token in settings.get("added_tokens") or []]
+
+    def bounded(memo: dict, key: str, value: bytes) -> bytes:
+        if len(memo) >= MEMO:
+            memo.clear()
+        memo[key] = value
+        return value
+
+    def stretch_ids(stretch: str) -> bytes:
+        """The ids of one stretch as the model spells it."""
+        return array("I", [token.id for token in model.tokenize(stretch)]).tobytes()
+
+    def spelled(stretch: str) -> str:
+        if stretch.isascii() and stretch != "\n":
+            return stretch
+        return stretch.encode().decode("latin-1").translate(spelling)
+
+    class Bare(dict):
+        """The ids of a stretch without a space before it."""
+
+        def __missing__(self, stretch: str) -> bytes:
+            return bounded(self, stretch, stretch_ids(spelled(stretch)))
+
+    bare = Bare()
+
+    def is_simple(piece: str) -> bool:
+        return _SIMPLE.fullmatch(piece) is not None and not any(mark in piece for mark in marks)
+
+    def first_ids(piece: str) -> bytes:
+        """The ids of the beginning of a text, up to its first space."""
+        return b"".join(map(bare.__getitem__, _STRETCHES.findall(piece))) if is_simple(piece) else ids([piece])[0]
+
+    def piece_ids(piece: str) -> bytes:
+        """The ids of a space and what follows it, up to the next one."""
+        if piece.isalpha() and piece.isascii():
+            return stretch_ids("\u0120" + piece)
+        if not is_simple(piece) or piece[0] == "\n":
+            return ids([" " + piece])[0]
+        first, *rest = _STRETCHES.findall(piece)
+        if not rest:
+            return stretch_ids("\u0120" + spelled(first))
+        return known[first] + b"".join(map(bare.__getitem__, rest))
+
+    class Pieces(dict):
+        """The ids of what follows a space, up to the next one, and of the space."""
+
+        def __missing__(self, piece: str) -> bytes:
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                raise _SplitElsewhere
+            return bounded(self, piece, piece_ids(piece))
+
+    known = Pieces()
 
     def remembered(texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            first, *rest = _SAFE_CUT.split(text)
-            pieces = [first, *[" " + piece for piece in rest]] if text else []
-            if len(memo) >= MEMO:
-                memo.clear()
-            new = set(pieces).difference(memo)
-            if new:
-                learn(list(new))
-            out.append(b"".join(map(memo.__getitem__, pieces)))
+            first, *rest = text.split(" ")
+            try:
+                if not first or first[-1].isspace():
+                    raise _SplitElsewhere
+                out.append(first_ids(first) + b"".join(map(known.__getitem__, rest)))
+            except _SplitElsewhere:
+                first, *rest = _SAFE_CUT.split(text)
+                out.append((first_ids(first) if first else b"") + b"".join(
+                    piece_ids(piece) if piece[-1].isspace() else known[piece] for piece in rest))
         return out
 
     return remembered
@@ -119,7 +174,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
 
         part, number, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, held, offsets = [], [], [0]
-        encoder = None
+        encoder, memory = None, _worker_memory()
 
         def segment() -> pa.RecordBatch:
             values = np.frombuffer(b"".join(held), dtype="<u4")
@@ -128,7 +183,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
 
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            encoder = encoder or text_encoder(tokenizer)
+            encoder = encoder or memory.setdefault(tokenizer, None) or text_encoder(tokenizer)
+            memory[tokenizer] = encoder
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 ids = encoder([text.as_py() or ""])[0]
                 doc_ids.append(doc_id.as_py())
