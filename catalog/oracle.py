@@ -376,6 +376,16 @@ popped AS (
 result AS (SELECT * FROM frontier WHERE url NOT IN (SELECT url FROM popped))""", "frontier")
 twin("pull_batch", "result AS (SELECT * FROM frontier ORDER BY url LIMIT 25)", "frontier")
 twin("pull_batch_rest", "result AS (SELECT * FROM frontier ORDER BY url LIMIT ALL OFFSET 25)", "frontier")
+twin("pop_stored_earliest", "result AS (SELECT * FROM frontier ORDER BY next_request_ms, url LIMIT 20)", "frontier")
+twin("pop_stored_earliest_rest", """
+result AS (SELECT * FROM frontier ORDER BY next_request_ms, url LIMIT ALL OFFSET 20)""", "frontier")
+twin("pop_stored_due", f"""
+result AS (
+  SELECT * FROM frontier WHERE next_request_ms - {NOW_MS} < 2000
+  ORDER BY next_request_ms, url LIMIT 15)""", "frontier")
+twin("pop_stored_due_rest", f"result AS (SELECT * FROM frontier WHERE next_request_ms - {NOW_MS} >= 2000)", "frontier")
+twin("pull_stored_batch", "result AS (SELECT * FROM frontier ORDER BY url LIMIT 25)", "frontier")
+twin("pull_stored_batch_rest", "result AS (SELECT * FROM frontier ORDER BY url LIMIT ALL OFFSET 25)", "frontier")
 twin("frontier_in_time_order", "result AS (SELECT * FROM frontier ORDER BY next_request_ms, url)", "frontier")
 twin("upsert_frontier", """
 result AS (
@@ -384,6 +394,22 @@ result AS (
   SELECT url, host, (next_request_ms + 7) * 2, content_type FROM frontier
   UNION ALL
   SELECT url || '/again', host, (next_request_ms + 7) * 2, content_type FROM frontier)""", "frontier")
+twin("upsert_stored_frontier", """
+result AS (
+  SELECT url || '/kept' AS url, host, next_request_ms, content_type FROM frontier
+  UNION ALL
+  SELECT url, host, (next_request_ms + 7) * 2, content_type FROM frontier
+  UNION ALL
+  SELECT url || '/again', host, (next_request_ms + 7) * 2, content_type FROM frontier)""", "frontier")
+twin("clear_frontier", """
+result AS (
+  SELECT url, 'kept' AS state FROM frontier
+  UNION ALL SELECT url || '/page', 'kept' FROM frontier WHERE next_request_ms % 1500 = 0
+  UNION ALL SELECT host, 'kept' FROM host_state)""", "frontier", "host_state")
+twin("delete_from_stored_frontier", ROUTED + """,
+result AS (
+  SELECT * FROM frontier WHERE url NOT IN (SELECT url FROM routed WHERE action = 'drop'))""",
+     "fetch_log", "host_state", "frontier")
 twin("delete_from_frontier", ROUTED + """,
 result AS (
   SELECT * FROM frontier WHERE url NOT IN (SELECT url FROM routed WHERE action = 'drop'))""",
@@ -463,6 +489,33 @@ result AS (
   FROM host_state h LEFT JOIN totals t ON t.host = h.host
   UNION ALL SELECT DISTINCT host, crawl_delay, next_request_ms FROM entered)""", *ROUND_INPUTS)
 
+twin("frontier_round_get_queue", ROUND + f""",
+pages_waiting AS (
+  SELECT url || '/page' AS url, next_request_ms FROM frontier WHERE next_request_ms % 1500 = 0
+  UNION ALL SELECT url, next_request_ms FROM routed WHERE action = 'fetch'),
+result AS (
+  SELECT url, CAST(next_request_ms AS BIGINT) AS next_request_ms,
+         CASE WHEN next_request_ms - {NOW_MS} < 2000 THEN 'fetch' ELSE 'get' END AS state FROM pages_waiting
+  UNION ALL SELECT url, CAST(next_request_ms AS BIGINT), 'due' FROM open_now
+  UNION ALL SELECT url, CAST(next_request_ms AS BIGINT), 'head' FROM late
+  UNION ALL SELECT url, CAST(next_request_ms AS BIGINT), 'head' FROM entered)""", *ROUND_INPUTS)
+twin("frontier_round_deltas", ROUND + """,
+totals AS (SELECT host, count(*) AS n FROM timed GROUP BY host),
+result AS (
+  SELECT url, CAST(next_request_ms AS BIGINT) AS next_request_ms, 'new' AS state FROM once WHERE kind = 0
+  UNION ALL SELECT url, CAST(coalesce(t, 0) AS BIGINT), 'new' FROM timed
+  UNION ALL SELECT r.url, CAST(r.next_request_ms AS BIGINT),
+                   CASE WHEN r.url IN (SELECT url FROM open_now) THEN 'removed, due' ELSE 'removed, excluded' END
+            FROM ready r WHERE r.host IN (SELECT host FROM host_state)
+  UNION ALL SELECT h.host, CAST(h.next_request_ms + t.n * CAST(floor(h.crawl_delay * 1000) AS BIGINT) AS BIGINT), 'moved'
+            FROM host_state h JOIN totals t ON t.host = h.host
+  UNION ALL SELECT DISTINCT host, next_request_ms, 'moved' FROM entered)""", *ROUND_INPUTS)
+twin("frontier_round_seen", ROUND + """,
+result AS (
+  SELECT url FROM frontier
+  UNION ALL SELECT url || '/page' FROM frontier WHERE next_request_ms % 1500 = 0
+  UNION ALL SELECT url FROM once)""", *ROUND_INPUTS)
+
 # Files and streams
 
 twin("document_files_round_trip", """

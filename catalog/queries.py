@@ -364,6 +364,59 @@ def pull_batch_rest(spark, sf):
     return lg.pull_batch(load(spark, sf, "frontier"), 25).rest
 
 
+def stored_queue(spark, sf, name: str) -> lg.SlotTable:
+    """The frontier as a queue in slots of four seconds, put in two parts."""
+    frontier = load(spark, sf, "frontier")
+    queue = lg.SlotTable(spark, scratch_path(spark, name), frontier.schema, slot_ms=4000)
+    queue.put(frontier.where("next_request_ms % 3000 = 0"))
+    queue.put(frontier.where("next_request_ms % 3000 <> 0"))
+    return queue
+
+
+@query
+def pop_stored_earliest(spark, sf):
+    return stored_queue(spark, sf, "pop").pop_first(20)
+
+
+@query
+def pop_stored_earliest_rest(spark, sf):
+    queue = stored_queue(spark, sf, "pop")
+    queue.pop_first(20)
+    return queue.read()
+
+
+@query
+def pop_stored_due(spark, sf):
+    return stored_queue(spark, sf, "pop").pop_due(NOW_MS, 15)
+
+
+@query
+def pop_stored_due_rest(spark, sf):
+    queue = stored_queue(spark, sf, "pop")
+    queue.pop_due(NOW_MS)
+    return queue.read()
+
+
+def stored_batches(spark, sf) -> lg.OrderedTable:
+    """The frontier as a queue by URL, in parts by the first 22 bytes."""
+    frontier = load(spark, sf, "frontier")
+    queue = lg.OrderedTable(spark, scratch_path(spark, "pull"), frontier.schema, ("url",), lg.prefix_part("url", 22), "string")
+    queue.put(frontier)
+    return queue
+
+
+@query
+def pull_stored_batch(spark, sf):
+    return stored_batches(spark, sf).pop_first(25)
+
+
+@query
+def pull_stored_batch_rest(spark, sf):
+    queue = stored_batches(spark, sf)
+    queue.pop_first(25)
+    return queue.read()
+
+
 @query
 def frontier_in_time_order(spark, sf):
     return load(spark, sf, "frontier").orderBy("next_request_ms", "url")
@@ -386,6 +439,43 @@ def upsert_frontier(spark, sf):
     return lg.upsert(base, frontier_changes(spark, sf), "url", "version")
 
 
+def stored_rows(rows: DataFrame) -> lg.KeyedTable:
+    table = lg.KeyedTable(rows.sparkSession, scratch_path(rows.sparkSession, "keyed"), rows.schema, "url", buckets=4)
+    table.put(rows)
+    return table
+
+
+@query
+def upsert_stored_frontier(spark, sf):
+    """Two puts of changes, the later one first folded into its buckets."""
+    base = load(spark, sf, "frontier")
+    table = stored_rows(base.unionByName(base.withColumn("url", F.concat("url", F.lit("/kept")))))
+    changes = frontier_changes(spark, sf)
+    table.put(changes.where("version = 1").drop("version"))
+    table.compact()
+    table.put(changes, "version")
+    return table.read()
+
+
+@query
+def delete_from_stored_frontier(spark, sf):
+    routed = lg.route_fetches(load(spark, sf, "fetch_log"), load(spark, sf, "host_state"), MAX_BYTES)
+    table = stored_rows(load(spark, sf, "frontier"))
+    table.delete(routed.where(F.col("action") == "drop"))
+    return table.read()
+
+
+@query
+def clear_frontier(spark, sf):
+    """What is left of a cleared store: the seen URLs and the hosts."""
+    store = filled_store(spark, sf)
+    store.clear()
+    version = store.version()
+    waiting = store.head.read(version).select("url").unionByName(store.get.read(version).select("url"))
+    kept = store.seen.read(version).unionByName(store.hosts.read(version).select(F.col("host").alias("url")))
+    return kept.withColumn("state", F.lit("kept")).unionByName(waiting.withColumn("state", F.lit("waiting")))
+
+
 @query
 def delete_from_frontier(spark, sf):
     routed = lg.route_fetches(load(spark, sf, "fetch_log"), load(spark, sf, "host_state"), MAX_BYTES)
@@ -485,6 +575,47 @@ def frontier_round_hosts(spark, sf):
         NOW_MS, AGENT, MAX_BYTES).host_state
 
 
+def filled_store(spark, sf) -> lg.StoredFrontier:
+    """The frontier, and every third of its URLs under another name waiting for download."""
+    frontier = load(spark, sf, "frontier")
+    waiting = frontier.where("next_request_ms % 1500 = 0").withColumn("url", F.concat("url", F.lit("/page")))
+    store = lg.StoredFrontier(spark, scratch_path(spark, "store"), slot_ms=4000, buckets=4, cells=64)
+    store.begin(frontier, load(spark, sf, "host_state"), get_queue=waiting)
+    return store
+
+
+def stored_round(spark, sf) -> tuple[lg.StoredFrontier, lg.StoredRound]:
+    store = filled_store(spark, sf)
+    return store, store.round(load(spark, sf, "fetch_log"), load(spark, sf, "pages"),
+                              lg.parse_robots(load(spark, sf, "robots_bodies")), NOW_MS, AGENT, MAX_BYTES)
+
+
+@query
+def frontier_round_get_queue(spark, sf):
+    """Both queues after a stored round, and what it handed out."""
+    store, done = stored_round(spark, sf)
+    parts = {"fetch": done.fetch, "due": done.due, "head": store.head.read(done.version), "get": store.get.read(done.version)}
+    frames = [df.select("url", "next_request_ms", F.lit(name).alias("state")) for name, df in parts.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+
+
+@query
+def frontier_round_deltas(spark, sf):
+    """The changes of a stored round."""
+    _, done = stored_round(spark, sf)
+    new = done.new.select("url", "next_request_ms", F.lit("new").alias("state"))
+    removed = done.removed.select("url", "next_request_ms", F.concat(F.lit("removed, "), "state").alias("state"))
+    moved = done.moved.select(F.col("host").alias("url"), "next_request_ms", F.lit("moved").alias("state"))
+    return new.unionByName(removed).unionByName(moved)
+
+
+@query
+def frontier_round_seen(spark, sf):
+    """The memory of URLs after a stored round."""
+    store, done = stored_round(spark, sf)
+    return store.seen.read(done.version)
+
+
 # Files
 
 
@@ -530,9 +661,11 @@ def stream_admit(spark, sf):
     arrivals = load(spark, sf, "arrivals").select("url", "arrival")
     seen = load(spark, sf, "arrivals").where(F.col("url").endswith("7")).select("url").distinct()
     path = scratch_path(spark, "admit")
-    replay(arrivals, "arrival", lambda stream: lg.start_rolling_sink(
-        lg.stream_admit(stream.select("url"), seen), f"{path}/out", f"{path}/state", available_now=True))
-    return spark.read.parquet(f"{path}/out")
+    table = lg.SeenTable(spark, f"{path}/seen", buckets=4, cells=64)
+    table.add(seen)
+    replay(arrivals, "arrival", lambda stream: lg.start_admission(
+        stream.select("url"), table, path, f"{path}/state", available_now=True))
+    return spark.read.parquet(f"{path}/admitted").select("url")
 
 
 @query

@@ -15,6 +15,7 @@ from linkgraph.operators.robots import (
 from linkgraph.operators.tables import clear, delete_keys, upsert
 from linkgraph.plans.frontier import frontier_round
 from linkgraph.plans.pagerank import pagerank, rank_edges, rank_states
+from linkgraph.plans.stored_frontier import StoredFrontier, StoredRound
 from linkgraph.session import build_session
 from linkgraph.sources.documents import read_documents, write_documents
 from linkgraph.sources.links import read_links, write_links
@@ -22,6 +23,10 @@ from linkgraph.sources.ranks import (
     read_rank_state, read_rank_states, write_rank_state, write_ranks)
 from linkgraph.sources.urls import (
     append_seen, files_to_copy, read_settled, read_url_batch, seeds, stream_url_batches)
+from linkgraph.stored.keyed import KeyedTable
+from linkgraph.stored.ordered import OrderedTable, SlotTable, prefix_part
+from linkgraph.stored.seen import SeenTable
+from linkgraph.streaming.admission import start_admission
 from linkgraph.streaming.admit import arrivals_per_window, stream_admit
 from linkgraph.streaming.due import start_due
 from linkgraph.streaming.schedule import start_schedule

@@ -12,7 +12,7 @@ ROTATION = "30 seconds"
 
 def stream_admit(arrivals: DataFrame, seen: DataFrame | None = None,
                  watermark: tuple[str, str] | None = None) -> DataFrame:
-    """Let every URL through once.
+    """Let every URL through once, as a stream that other operators can follow (``start_admission`` writes tables).
 
     URLs are remembered for good (RocksDB keeps that state off the heap), or with ``watermark``, a
     time column and a delay, only that long. ``seen`` holds URLs known before the stream began.
