@@ -1,24 +1,23 @@
 """Benchmark items inside documents: size-partitioned MinHash search, verified by exact shingle containment.
 
 A document is much larger than an item, so the Jaccard similarity of their sketches says nothing. The search
-therefore goes by containment. Items are partitioned by the size of their shingle set; an item is sketched by
-its k smallest hashes, and a partition's threshold is the largest hash that any of its sketches has. Of a
-document only the hashes below the threshold of the loosest partition take part. An item that a document
-contains to a share c misses at most (1 - c) n of its n shingles, so at least k - (1 - c) n of the sketch are
-among the document's hashes: this is the exact condition for candidates, at any length of document. Candidates
-are then counted on the shingles themselves.
+therefore goes by containment. An item of n shingles that a document contains to a share c misses at most (1 - c) n
+of them, so of its (1 - c) n + t smallest hashes the document has t or more: this is exact at any size of item and
+document, with a sketch as long as the item needs. Items are partitioned by the size of their shingle set; a
+partition's threshold is the largest hash of its sketches, and only a document's hashes up to the highest threshold
+take part. Candidates are then counted on the shingles themselves.
 
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linkgraph.session import scratch_path, written
 
 SHINGLE = 5
-SKETCH = 16
+NEEDED = 4  # hashes of a sketch that a document must have, if the item has so many to spare
 BROADCAST_ROWS = 1_000_000  # rows of two numbers, or ids, that may be broadcast; more are joined by a shuffle
 
 
@@ -48,20 +47,18 @@ def small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
-def item_sketches(items: DataFrame, share_num: int, share_den: int, sketch: int = SKETCH) -> DataFrame:
-    """``item``, ``hash``, ``needed`` and the ``threshold`` of the item's size partition, a row for each hash.
+def item_sketches(items: DataFrame, share_num: int, share_den: int, needed: int = NEEDED) -> DataFrame:
+    """``item``, ``partition``, ``hash``, ``needed``: a row for each hash of an item's sketch.
 
-    ``items`` has ``item`` and ``words``.
+    ``items`` has ``item`` and ``words``. A document that contains the item has ``needed`` of these hashes or more.
     """
-    hashed = items.select("item", F.array_sort(F.array_distinct(shingle_hashes("words"))).alias("hashes"))
-    sized = hashed.where(F.size("hashes") > 0).select(
-        "item", F.slice("hashes", 1, sketch).alias("kept"), F.size("hashes").alias("n"))
-    misses = F.floor(F.col("n") * (share_den - share_num) / share_den).cast("int")
-    partition = F.floor(F.log2("n"))
-    return sized.select(
-        "item", F.greatest(F.lit(1), F.size("kept") - misses).alias("needed"),
-        F.max(F.array_max("kept")).over(Window.partitionBy(partition)).alias("threshold"),
-        F.explode("kept").alias("hash"))
+    hashes = items.select("item", F.explode(shingle_hashes("words")).alias("hash")).distinct()
+    sized = hashes.groupBy("item").agg(F.sort_array(F.collect_list("hash")).alias("hashes"), F.count("*").alias("n"))
+    misses = F.expr(f"int(n * {share_den - share_num} div {share_den})")
+    parted = sized.select("item", "hashes", misses.alias("misses"), F.floor(F.log2("n")).alias("partition"),
+                          F.least(F.lit(needed), F.col("n") - misses).cast("int").alias("needed"))
+    return parted.select("item", "partition", "needed",
+                         F.explode(F.slice("hashes", F.lit(1), F.col("misses") + F.col("needed"))).alias("hash"))
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -78,7 +75,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     doc_words = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
     items = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text_col)).alias("words"))
     sketches = written(item_sketches(items, share_num, share_den), scratch_path(spark, "sketches"))
-    loosest = sketches.agg(F.max("threshold")).first()[0]
+    thresholds = sketches.groupBy("partition").agg(F.max("hash").alias("threshold")).collect()  # 64 rows at most
+    loosest = max([row["threshold"] for row in thresholds], default=None)
     hashes = doc_words.select("id", F.explode(shingle_hashes("words")).alias("hash"))
     if loosest is not None:
         hashes = hashes.where(F.col("hash") <= loosest)

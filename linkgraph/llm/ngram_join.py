@@ -8,8 +8,8 @@ that share one are compared exactly.
 
 Sets are the nodes, so exact copies are one node. Within a group of sets that share a signature each is
 compared with the group's first set, and after that only with sets of other components of the group: no pair
-whose outcome cannot matter is formed. A task passes on one set of a group, so a group of any size is spread
-over the tasks that read it.
+whose outcome cannot matter is formed. What is left is compared inside the tasks, which pass on no more links than
+join components. A task passes on one set of a group, so a group of any size is spread over the tasks that read it.
 """
 
 from __future__ import annotations
@@ -214,9 +214,10 @@ def odd_sketch(elements: np.ndarray) -> bytes:
     """One bit for every cell of a hash, set where the cell has an odd number of elements.
 
     Every element in which two sets differ changes one bit at most, so the bits in which two sketches differ are
-    never more than the elements in which the sets do (after Mitzenmacher, Pagh and Pham, 2014).
+    never more than the elements in which the sets do, and with eight cells for an element seldom many fewer
+    (after Mitzenmacher, Pagh and Pham, 2014).
     """
-    bits = max(256, 1 << (len(elements) - 1).bit_length())
+    bits = max(256, 8 << (len(elements) - 1).bit_length())
     cells = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((cells & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -274,63 +275,122 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 BLOCK = 4096  # members of a group that meet as one block
+BLOCK_ELEMENTS = 1 << 22  # elements of all sets of a block, on average
 
 
-def _possible_within(open_rows: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
-    """Pairs of a group's members in different components that their sketches do not rule out.
+def _in_blocks(rows: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """``name, first, second, node, root, block`` and columns of the sets, every two blocks of a group together.
 
-    With ``nearest`` only the pair of each member with the nearest sketch, at most one for each member.
-    ``open_rows`` has ``name``, ``members``, ``node``, ``root``. A group of more than a block of members is dealt
-    as pairs of blocks, so no task holds more than two blocks.
+    ``rows`` has ``name``, ``blocks``, ``node``, ``root``. Each member meets those of its own block and of every other
+    one, so no task holds more than two blocks.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return (rows.withColumn("block", block)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+            .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+            .join(sets.select("node", *columns), "node")
+            .select("name", "first", "second", "node", "root", "block", *columns)
+            .repartition("name", "first", "second").sortWithinPartitions("name", "first", "second"))
+
+
+def _by_block_pair(settle, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Call ``settle`` with the key and the other columns of each run of rows with the same first three columns."""
+    held, key = [], None
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            if row[:3] != key:
+                if len(held) > 1:
+                    yield from settle(key, *zip(*held))
+                held, key = [], row[:3]
+            held.append(row[3:])
+    if len(held) > 1:
+        yield from settle(key, *zip(*held))
+
+
+def _near(open_rows: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
+    """Members of a group with a member of another component that their sketches do not rule out.
+
+    With ``nearest`` the pairs ``a``, ``b`` of each such member and the one with the nearest sketch, otherwise the
+    members as ``name, first, second, node``: in either case at most a row for each member of two blocks.
     """
 
-    def within(nodes, roots, sizes, sketches, blocks, first, second) -> Iterator[pa.RecordBatch]:
+    def settle(key, nodes, roots, blocks, sizes, sketches) -> Iterator[pa.RecordBatch]:
+        nodes, roots, blocks, sizes = (np.array(x) for x in (nodes, roots, blocks, sizes))
         width = min(map(len, sketches))
-        rows = np.concatenate([_fold(np.frombuffer(s, dtype=np.uint8)[None], width) for s in sketches])
-        rows = rows.view(np.uint64)
+        rows = np.concatenate([_fold(np.frombuffer(s, dtype=np.uint8)[None], width) for s in sketches]).view(np.uint64)
         step = max(1, (1 << 22) // max(1, rows.size))
         for at in range(0, len(nodes), step):
             part = slice(at, at + step)
             apart = np.bitwise_count(rows[part, None, :] ^ rows[None, :, :]).sum(axis=2, dtype=np.int64)
             may = apart <= _differ_at_most(sizes[part, None], sizes[None, :], num, den)
             may &= roots[part, None] != roots[None, :]
-            if first != second:  # pairs within a block meet where the block meets itself
+            if key[1] != key[2]:  # pairs within a block meet where the block meets itself
                 may &= blocks[part, None] != blocks[None, :]
             if nearest:
                 j = np.where(may, apart, np.iinfo(np.int64).max).argmin(axis=1)
                 i = np.flatnonzero(may[np.arange(len(may)), j])
-                j = j[i]
+                one, two = nodes[part][i], nodes[j[i]]
+                columns = {"a": np.minimum(one, two), "b": np.maximum(one, two)}
             else:
-                i, j = np.nonzero(may & (nodes[part, None] < nodes[None, :]))
-            one, two = nodes[part][i], nodes[j]
-            if len(i):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["a", "b"])
-
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
-        for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                if row[:3] != key:
-                    yield from settle(held, key)
-                    held, key = [], row[:3]
-                held.append(row[3:])
-        yield from settle(held, key)
-
-    def settle(held: list, key: tuple) -> Iterator[pa.RecordBatch]:
-        if len(held) > 1:
-            nodes, roots, sizes, sketches, blocks = zip(*held)
-            yield from within(np.array(nodes), np.array(roots), np.array(sizes), sketches, np.array(blocks), *key[1:])
-
-    count = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), count).cast("int")
-    dealt = (open_rows.withColumn("block", block)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-             .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
-             .join(sets.select("node", "n", "sketch"), "node")
-             .select("name", "first", "second", "node", "root", "n", "sketch", "block")
+                own = nodes[part][may.any(axis=1)]
+                columns = {"name": np.full(len(own), key[0]), "first": np.full(len(own), key[1], dtype=np.int32),
+                           "second": np.full(len(own), key[2], dtype=np.int32), "node": own}
+            if len(columns["node" if "node" in columns else "a"]):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
+
+    dealt = _in_blocks(open_rows, sets, "n", "sketch")
+    schema = "a bigint, b bigint" if nearest else "name bigint, first int, second int, node bigint"
+    return dealt.mapInArrow(lambda batches: _by_block_pair(settle, batches), schema)
+
+
+def forest_of_similar(roots: list, blocks: list, elements: list, one_block: bool, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of sets, by place, that are similar and join two components: at most one less than there are sets.
+
+    ``roots`` are the components at the beginning; pairs of one block are left out unless there is ``one_block``.
+    """
+    part = np.unique(np.array(roots), return_inverse=True)[1]
+    blocks, sizes = np.array(blocks), np.array([len(e) for e in elements])
+    flat = np.unique(np.concatenate(elements), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    mark = np.zeros(int(flat.max()) + 1, dtype=bool)
+    links = []
+    for i in range(len(sizes) - 1):
+        open_to = part[i + 1:] != part[i]
+        if not one_block:
+            open_to &= blocks[i + 1:] != blocks[i]
+        if not open_to.any():
+            continue
+        own = flat[starts[i]:ends[i]]
+        mark[own] = True
+        common = np.add.reduceat(mark[flat[ends[i]:]], starts[i + 1:] - ends[i], dtype=np.int64)
+        mark[own] = False
+        alike = open_to & (common * (num + den) >= (sizes[i] + sizes[i + 1:]) * num)
+        for j in (np.flatnonzero(alike) + i + 1).tolist():
+            if part[j] != part[i]:
+                links.append((i, j))
+                part[part == part[j]] = part[i]
+    return links
+
+
+def _links_within(open_rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of similar sets that join the components within two blocks of a group, compared in the task."""
+
+    def settle(key, nodes, roots, blocks, elements) -> Iterator[pa.RecordBatch]:
+        sets_of = [np.array(e, dtype=np.int64) for e in elements]
+        found = forest_of_similar(roots, blocks, sets_of, key[1] == key[2], num, den)
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([min(nodes[i], nodes[j]) for i, j in found], pa.int64()),
+                 pa.array([max(nodes[i], nodes[j]) for i, j in found], pa.int64())], names=["a", "b"])
+
+    near = _near(open_rows, sets, num, den, nearest=False)
+    blocks = open_rows.select("name", "node", "root", "blocks")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (near.join(blocks, ["name", "node"]).withColumn("block", block).join(sets.select("node", "elements"), "node")
+             .select("name", "first", "second", "node", "root", "block", "elements")
              .repartition("name", "first", "second").sortWithinPartitions("name", "first", "second"))
-    return dealt.mapInArrow(groups, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(lambda batches: _by_block_pair(settle, batches), "a bigint, b bigint").distinct()
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -371,9 +431,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = scratch.write(shared.select("name", "node").union(shared.select("name", F.col("leader").alias("node")))
                      .distinct(), "groups")
     for nearest in (True, False):
-        open_rows = scratch.write(_open_groups(groups, roots), "open")
-        across = _possible_within(open_rows, sets, num, den, nearest)
-        more = scratch.write(_similar(across, sets, num, den), "more")
+        open_rows = scratch.write(_open_groups(groups, roots, sets), "open")
+        if nearest:
+            more = _similar(_near(open_rows, sets, num, den, nearest).distinct(), sets, num, den)
+        else:
+            more = _links_within(open_rows, sets, num, den)
+        more = scratch.write(more, "more")
         if more.limit(1).count():
             links = links.union(more)
             roots = connected_components(links)
@@ -382,14 +445,19 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return _numbered(base, nodes, roots)
 
 
-def _open_groups(groups: DataFrame, roots: DataFrame) -> DataFrame:
-    """``name``, ``members``, ``node``, ``root`` of the groups with several components; equal groups once."""
+def _open_groups(groups: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """``name``, ``blocks``, ``node``, ``root`` of the groups with several components; equal groups once.
+
+    ``blocks`` is into how many a group is cut, by its members and by their elements.
+    """
     placed = groups.join(roots, "node", "left").select("name", "node", F.coalesce("root", "node").alias("root"))
     mixed = (placed.groupBy("name").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"),
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2"))
         .where("low < high").groupBy("members", "mark", "mark2").agg(F.min("name").alias("name")))
-    return placed.join(mixed.select("name", "members"), "name")
+    rows = placed.join(mixed.select("name"), "name")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_ELEMENTS))
+    return rows.join(rows.join(sets.select("node", "n"), "node").groupBy("name").agg(blocks.alias("blocks")), "name")
 
 
 def _numbered(base: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:

@@ -80,6 +80,38 @@ def test_sketches_never_rule_out_similar_sets():
         assert int(np.bitwise_count(one ^ two).sum()) <= differ
 
 
+def test_a_forest_joins_what_similar_pairs_join():
+    rng = np.random.default_rng(4)
+    for one_block in (True, False):
+        base = [np.unique(rng.integers(0, 2 ** 62, 60)) for _ in range(4)]
+        elements = [np.unique(np.concatenate([rng.permutation(base[k % 4])[:rng.integers(50, 60)],
+                                              rng.integers(0, 2 ** 62, rng.integers(0, 6))])) for k in range(40)]
+        roots, blocks = [k // 2 for k in range(40)], rng.integers(0, 2, 40).tolist()
+        got = ngram_join.forest_of_similar(roots, blocks, elements, one_block, 8, 10)
+        want = [(i, j) for i in range(40) for j in range(i + 1, 40) if (one_block or blocks[i] != blocks[j])
+                and 10 * len(np.intersect1d(elements[i], elements[j])) >= 8 * len(np.union1d(elements[i], elements[j]))]
+        start = [(2 * r, 2 * r + 1) for r in range(20)]
+        assert set(got) <= set(want) and len(got) < 20
+        assert brute.components(range(40), start + got) == brute.components(range(40), start + want)
+
+
+@pytest.mark.parametrize("elements", [1 << 22, 200])
+def test_large_near_families_give_few_links(spark, monkeypatch, elements):
+    monkeypatch.setattr(ngram_join, "BLOCK_ELEMENTS", elements)
+    rng = random.Random(7)
+    rows = []
+    for family in range(3):
+        base = [f"w{family}x{k}" for k in range(120)]
+        for copy in range(60):  # each half of a family lies just below the limit to the other half
+            words = list(base)
+            for k in rng.sample(range(0, 120, 9), 3 if copy % 2 else 2):
+                words[k] = f"own{copy}x{k}"
+            rows.append((len(rows), " ".join(words)))
+    got = {r["id"]: (r["n_shingles"], r["component_id"])
+           for r in ngram_join.ngram_components(spark.createDataFrame(rows, SCHEMA), size=3, num=9, den=10).collect()}
+    assert got == brute.ngram_components(rows, 3, 9, 10)
+
+
 def test_blocks_cover_large_groups(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 3)
     rows = varied(99, families=4, copies=20)
