@@ -210,14 +210,14 @@ def rows_with_ids(rows: DataFrame, column: str, ids: DataFrame, bound: int = BRO
     return rows.join(wanted, F.col(column) == F.col("__wanted"), "left_semi")
 
 
-def odd_sketch(elements: np.ndarray) -> bytes:
+def odd_sketch(elements: np.ndarray, cells: int = 1) -> bytes:
     """One bit for every cell of a hash, set where the cell has an odd number of elements.
 
     Every element in which two sets differ changes one bit at most, so the bits in which two sketches differ are
-    never more than the elements in which the sets do, and with eight cells for an element seldom many fewer
+    never more than the elements in which the sets do, and with several ``cells`` for an element seldom many fewer
     (after Mitzenmacher, Pagh and Pham, 2014).
     """
-    bits = max(256, 8 << (len(elements) - 1).bit_length())
+    bits = max(256, cells << (len(elements) - 1).bit_length())
     cells = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((cells & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -236,7 +236,7 @@ def _differ_at_most(n_a, n_b, num: int, den: int):
 
 
 def _sets_of(docs: DataFrame, id_col: str, text_col: str, size: int, reps: DataFrame) -> DataFrame:
-    """``node``, ``n``, ``sketch``, ``elements`` of the texts whose ids are given."""
+    """``node``, ``n``, ``sketch``, ``fine`` (a larger sketch), ``elements`` of the texts whose ids are given."""
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,13 +245,14 @@ def _sets_of(docs: DataFrame, id_col: str, text_col: str, size: int, reps: DataF
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_node(s)[0] for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
                  pa.array([odd_sketch(s) for s in found], pa.binary()),
+                 pa.array([odd_sketch(s, FINE) for s in found], pa.binary()),
                  pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
-                names=["node", "n", "sketch", "elements"])
+                names=["node", "n", "sketch", "fine", "elements"])
 
     chosen = rows_with_ids(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")),
                            "id", reps)
     return chosen.select(F.col("text").cast("string")).mapInArrow(
-        elements, "node bigint, n bigint, sketch binary, elements array<bigint>").dropDuplicates(["node"])
+        elements, "node bigint, n bigint, sketch binary, fine binary, elements array<bigint>").dropDuplicates(["node"])
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -275,6 +276,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 BLOCK = 4096  # members of a group that meet as one block
+FINE = 4  # cells for an element of the sketches that decide which sets are compared within a group
 BLOCK_ELEMENTS = 1 << 22  # elements of all sets of a block, on average
 
 
@@ -338,7 +340,7 @@ def _near(open_rows: DataFrame, sets: DataFrame, num: int, den: int, nearest: bo
             if len(columns["node" if "node" in columns else "a"]):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
 
-    dealt = _in_blocks(open_rows, sets, "n", "sketch")
+    dealt = _in_blocks(open_rows, sets, "n", "sketch" if nearest else "fine")
     schema = "a bigint, b bigint" if nearest else "name bigint, first int, second int, node bigint"
     return dealt.mapInArrow(lambda batches: _by_block_pair(settle, batches), schema)
 
