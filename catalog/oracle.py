@@ -208,6 +208,12 @@ twin("rank_states_union", rank_steps(1, "supply_edges") + """,
 result AS (
   SELECT node, round(rank, 6) AS rank FROM r0 UNION ALL SELECT node, round(rank, 6) FROM r1)""",
      "supply_edges")
+twin("read_rank_state_files", rank_steps(1, "supply_edges") + """,
+result AS (
+  SELECT 0 AS step, node, out_degree, round(rank, 6) AS rank FROM r0
+  UNION ALL SELECT 1, node, out_degree, round(rank, 6) FROM r1)""", "supply_edges")
+twin("rank_files_round_trip", rank_steps(2, "part_edges") + """,
+result AS (SELECT node, round(rank, 6) AS rank FROM r2)""", "part_edges")
 twin("rank_delta_supply", rank_steps(1, "supply_edges") + "," + rank_delta(0, 1) + """,
 result AS (SELECT node, round(delta, 6) AS delta FROM delta)""", "supply_edges")
 twin("max_delta_supply", rank_steps(2, "supply_edges") + "," + rank_delta(1, 2) + """,

@@ -232,6 +232,30 @@ def rank_states_union(spark, sf):
     return ranked(edges, 0).unionByName(ranked(edges, 1)).select("node", rounded("rank"))
 
 
+@query
+def read_rank_state_files(spark, sf):
+    """Two states on disk, as Parquet (written over another one) and in their text form, read as one table."""
+    path = scratch_path(spark, "states")
+    edges = load(spark, sf, "supply_edges")
+    first = ranked(edges, 0)
+    lg.write_rank_state(first.limit(5), f"{path}/0")
+    lg.write_rank_state(first, f"{path}/0", mode="overwrite")
+    size = F.coalesce(F.col("out_degree").cast("string"), F.lit("null"))
+    line = F.concat_ws(" ", F.concat("node", F.lit("\t"), "node"), size, "rank", F.lit("links"))
+    ranked(edges, 1).select(line.alias("value")).write.text(f"{path}/1")
+    states = lg.read_rank_states(spark, f"{path}/0").withColumn("step", F.lit(0)).unionByName(
+        lg.read_rank_state(spark, f"{path}/1", format="text").withColumn("step", F.lit(1)))
+    return states.select("step", "node", "out_degree", rounded("rank"))
+
+
+@query
+def rank_files_round_trip(spark, sf):
+    """Final ranks as tab-separated text."""
+    path = scratch_path(spark, "ranks")
+    lg.write_ranks(lg.pagerank(links_of(load(spark, sf, "part_edges")), max_iter=2), path, format="csv")
+    return spark.read.schema("node string, rank double").option("sep", "\t").csv(path).select("node", rounded("rank"))
+
+
 @query
 def rank_delta_supply(spark, sf):
     edges = load(spark, sf, "supply_edges")
