@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -36,6 +36,11 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     return found
 
 
+def falls_due(until: int) -> Column:
+    """Whether a URL's time lies before ``until``; one without a time falls due at once."""
+    return F.coalesce(F.col("next_request_ms") < until, F.lit(True))
+
+
 def with_ticks(rows: DataFrame) -> DataFrame:
     """A stream with a row of NULLs in every batch, marked in ``is_tick``, so that batches never cease."""
     ticks = (rows.sparkSession.readStream.format("rate-micro-batch").option("rowsPerBatch", 1)
@@ -71,12 +76,12 @@ def start_due(scheduled: DataFrame, path: str, checkpoint: str,
         until = clock(batch_id) + horizon_ms
         urls = batch.where(~F.col(TICK)).drop(TICK).persist()
         try:
-            due = urls.where(F.col("next_request_ms") < until)
+            due = urls.where(falls_due(until))
             if batch_id > 0:
                 since = spark.read.schema("until bigint").parquet(
                     f"{path}/ends/batch={batch_id - 1}").first()["until"]
                 until = max(until, since)
-                due = urls.where(F.col("next_request_ms") < until)
+                due = urls.where(falls_due(until))
                 released = late(spark, since, until, batch_id)
                 if released is not None:
                     due = due.unionByName(released)

@@ -111,7 +111,7 @@ def test_due_releases_each_url_once_and_in_time(spark, tmp_path):
 
 def test_due_is_released_without_a_further_arrival(spark, tmp_path):
     source = Source(spark, tmp_path / "in", "url string, next_request_ms bigint")
-    source.add([("now", 0), ("soon", 7_000), ("later", 10**12)])
+    source.add([("now", 0), ("soon", 7_000), ("later", 10**12), ("untimed", None)])
     query = start_due(source.stream(), str(tmp_path / "out"), str(tmp_path / "state"), slot_ms=1000, horizon_ms=0,
                       clock=lambda b: 1_000 + b * 10_000, every="1 second")
     try:
@@ -123,7 +123,7 @@ def test_due_is_released_without_a_further_arrival(spark, tmp_path):
     finally:
         query.stop()
     rows = {r.url: r.batch for r in spark.read.parquet(str(tmp_path / "out/due")).collect()}
-    assert set(rows) == {"now", "soon"} and rows["soon"] > rows["now"]
+    assert set(rows) == {"now", "soon", "untimed"} and rows["soon"] > rows["now"] == rows["untimed"]
 
 
 def test_hosts_registered_later_are_polite(spark, tmp_path):
