@@ -144,10 +144,34 @@ def tested_text(url: Column, match_on: str) -> Column:
     return F.concat(path_of(url) if match_on == "path" else url, F.lit("/"))
 
 
-def is_excluded(tested: str, prefixes: str, match_on: str) -> Column:
-    """Whether column ``tested`` starts with one of ``prefixes``; empty ones do not count for paths."""
-    hit = F.exists(prefixes, lambda p: F.col(tested).startswith(p) & ((p != "") | F.lit(match_on == "url")))
-    return F.coalesce(hit, F.lit(False))
+def search_list(prefixes: str, match_on: str) -> Column:
+    """Disallow values made fit for ``is_excluded``: in order, without those that start with another one.
+
+    Empty values do not count for paths; for URLs one makes all others needless.
+    """
+    used = F.col(prefixes) if match_on == "url" else F.array_remove(prefixes, "")
+    return F.aggregate(F.sort_array(used), F.array().cast("array<string>"), lambda kept, value: F.when(
+        value.startswith(F.get(kept, F.size(kept) - 1)), kept).otherwise(F.concat(kept, F.array(value))))
+
+
+def is_excluded(tested: str, searched: str) -> Column:
+    """Whether column ``tested`` starts with a value of a ``search_list``, by halving the list.
+
+    All text between a value and the text it begins starts with that value too, and the list holds no
+    such text; so only the greatest value that is not above the text can be the one.
+    """
+    values, size = F.col(searched), F.size(searched)
+
+    def halved(span: Column, _) -> Column:
+        middle = F.shiftright(span["low"] + span["high"], 1)
+        upper = F.struct((middle + 1).alias("low"), span["high"].alias("high"))
+        lower = F.struct(span["low"].alias("low"), middle.alias("high"))
+        return F.when(span["low"] >= span["high"], span).when(F.get(values, middle) <= F.col(tested), upper).otherwise(lower)
+
+    turns = F.sequence(F.lit(1), F.length(F.bin(size)))
+    nearest = F.aggregate(turns, F.struct(F.lit(0).alias("low"), size.alias("high")), halved,
+                          lambda span: F.get(values, span["low"] - 1))
+    return F.coalesce(F.col(tested).startswith(nearest), F.lit(False))
 
 
 def allowed(frontier: DataFrame, rules: DataFrame, agent: str, match_on: str = "path") -> DataFrame:
@@ -155,9 +179,10 @@ def allowed(frontier: DataFrame, rules: DataFrame, agent: str, match_on: str = "
 
     ``match_on="path"`` tests the path and ignores empty values; ``"url"`` tests the full URL
     literally, where an empty value excludes everything. Allow values have no effect. One row of
-    prefixes per host is looked up, so URLs and rules are never paired in a shuffle; the tested text
-    is made before the join, once per URL and not once per prefix.
+    prefixes per host is looked up, so URLs and rules are never paired in a shuffle; a URL is compared
+    with as many of them as their number has binary digits.
     """
     tested = frontier.withColumn("tested", tested_text(F.col("url"), match_on))
-    return (tested.join(effective_disallow(rules, agent), "host", "left")
-            .where(~is_excluded("tested", "prefixes", match_on)).select(*frontier.columns))
+    lists = effective_disallow(rules, agent).select("host", search_list("prefixes", match_on).alias("searched"))
+    return (tested.join(lists, "host", "left")
+            .where(~is_excluded("tested", "searched")).select(*frontier.columns))

@@ -10,7 +10,7 @@ from linkgraph.functions.urls import host_of
 from linkgraph.operators.frontier import (
     BYTES_PER_MB, admit, pop_due, registered, route_fetches, schedule)
 from linkgraph.operators.pages import candidate_urls
-from linkgraph.operators.robots import host_policy, is_excluded, tested_text
+from linkgraph.operators.robots import host_policy, is_excluded, search_list, tested_text
 from linkgraph.operators.tables import upsert
 from linkgraph.session import checkpointed
 
@@ -56,10 +56,11 @@ def frontier_round(fetch_log: DataFrame, pages: DataFrame, frontier: DataFrame,
     waiting = upsert(frontier.select(*FRONTIER_COLUMNS), additions, "url")
     ready, rest = pop_due(waiting, now_ms)
     hosts = checkpointed(host_state.select("host", F.lit(True).alias("known")).join(
-        host_policy(robots_rules, agent), "host", "full_outer"))
+        host_policy(robots_rules, agent).withColumn("prefixes", search_list("prefixes", match_on)),
+        "host", "full_outer"))
     checked = ready.withColumn("tested", tested_text(F.col("url"), match_on)).join(hosts, "host", "left")
     state = (F.when(F.col("known").isNull(), "unknown")
-             .when(is_excluded("tested", "prefixes", match_on), "excluded").otherwise("due"))
+             .when(is_excluded("tested", "prefixes"), "excluded").otherwise("due"))
     outcome = checkpointed(
         checked.select(*FRONTIER_COLUMNS, "crawl_delay", state.alias("state")).unionByName(
             rest.select(*FRONTIER_COLUMNS, F.lit(None).cast("double").alias("crawl_delay"),

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from linkgraph.functions.urls import host_of
 from linkgraph.operators.frontier import BYTES_PER_MB, DUE_HORIZON_MS, registered, route_fetches, schedule
 from linkgraph.operators.pages import candidate_urls
-from linkgraph.operators.robots import host_policy, is_excluded, tested_text
+from linkgraph.operators.robots import host_policy, is_excluded, search_list, tested_text
 from linkgraph.session import drop_path, written
 from linkgraph.stored.keyed import KeyedTable
 from linkgraph.stored.live import complete_versions
@@ -122,9 +122,10 @@ class StoredFrontier:
         taken = self.head.take_due(now_ms, horizon_ms, before)
         ready = taken.rows.select(*HEAD_COLUMNS).unionByName(new.where(is_due))
         policy = hosts.select("host", F.lit(True).alias("known")).join(
-            host_policy(robots_rules, agent), "host", "full_outer")
+            host_policy(robots_rules, agent).withColumn("prefixes", search_list("prefixes", match_on)),
+            "host", "full_outer")
         state = (F.when(F.col("known").isNull(), "unknown")
-                 .when(is_excluded("tested", "prefixes", match_on), "excluded").otherwise("due"))
+                 .when(is_excluded("tested", "prefixes"), "excluded").otherwise("due"))
         outcome = written(
             ready.withColumn("tested", tested_text(F.col("url"), match_on)).join(policy, "host", "left")
             .select(*HEAD_COLUMNS, "crawl_delay", state.alias("state")), f"{out}/outcome")

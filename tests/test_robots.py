@@ -105,3 +105,28 @@ def test_many_rules_and_urls_of_one_host(spark):
     urls = spark.range(4000).select(F.concat(F.lit("http://h/d"), "id", F.lit("/x")).alias("url"), F.lit("h").alias("host"))
     got = lg.allowed(urls, parse(spark, ("h", body)), "bot")
     assert got.count() == 1000
+
+
+def test_search_equals_comparing_with_every_value(spark):
+    """Nested, repeated and empty values, texts between them, and letters whose byte order differs from UTF-16."""
+    rng = random.Random(11)
+    letters = "ab/～\U0001f600"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 4))) for _ in range(400)]
+    lists = [None, [], [""], *[rng.sample(words, rng.randint(1, 12)) for _ in range(60)]]
+    rows = [(text, values) for values in lists for text in [*rng.sample(words, 25), None]]
+    pairs = spark.createDataFrame(rows, "tested string, prefixes array<string>")
+    for match_on in ("path", "url"):
+        searched = pairs.withColumn("searched", lg.operators.robots.search_list("prefixes", match_on))
+        for row in searched.withColumn("hit", lg.operators.robots.is_excluded("tested", "searched")).collect():
+            used = [p for p in row.prefixes or [] if p or match_on == "url"]
+            assert row.hit == (row.tested is not None and any(row.tested.startswith(p) for p in used)), row
+
+
+def test_many_rules_of_a_host(spark):
+    rules = spark.range(10_000).select(
+        F.lit("h").alias("host"), F.lit("*").alias("agent"), F.lit("disallow").alias("directive"),
+        F.format_string("/%d/x", "id").alias("value"), F.col("id").alias("ord"))
+    urls = spark.range(20_000).select(F.format_string("http://h/%d/%s", F.col("id"), F.when(
+        F.col("id") % 2 == 0, "xy").otherwise("y")).alias("url"), F.lit("h").alias("host"))
+    # even numbers below 10,000 are excluded
+    assert lg.allowed(urls, rules, "bot").count() == 15_000
