@@ -95,3 +95,41 @@ def test_shared_dir(spark):
     assert shared_dir(spark) == (named or shared_dir(spark))
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(shared_dir(spark).rstrip("/"))
+
+
+def test_archive_of_a_watched_folder(spark, tmp_path):
+    folder, later = tmp_path / "in", int(time.time() * 1000) + 120_000
+    (folder / "sub dir").mkdir(parents=True)
+    for name, content in {"a.bin": b"\x00\xff", "empty": b"", "b c%20.txt": b"two\nlines", "_hidden": b"no",
+                          "sub dir/x": b"deep"}.items():
+        (folder / name).write_bytes(content)
+    listed = {r.key: r.length for r in lg.list_files(spark, str(folder)).collect()}
+    assert listed == {"a.bin": 2, "b c%20.txt": 9}
+    assert {r.key for r in lg.list_files(spark, str(folder), recursive=True).collect()} == {*listed, "sub dir/x"}
+
+    archive = lg.FileArchive(spark, str(tmp_path / "archive"), buckets=2)
+    assert archive.read().collect() == []
+    assert archive.copy_new(str(folder), later - 120_000, settle_ms=60_000).files.collect() == []  # still changing
+    first = archive.copy_new(str(folder), later)
+    assert first.version == 1 and {r.key for r in first.files.collect()} == set(listed)
+    again = archive.copy_new(str(folder), later)
+    assert again.version == 1 and again.files.collect() == []
+
+    # a run that was cut off before its log leaves rows that are not read, and is done again
+    (folder / "late").write_bytes(b"z")
+    os.utime(folder / "late", (1, 1))
+    left = tmp_path / "archive" / "content" / "version=2"
+    left.mkdir()
+    (left / "part-0.parquet").write_text("cut off")
+    assert archive.log().count() == 2
+    second = archive.copy_new(str(folder), later, recursive=True)
+    assert {r.key for r in second.files.collect()} == {"late", "sub dir/x"}
+    got = {r.key: (bytes(r.content), r.taken) for r in archive.read().collect()}
+    assert got == {"a.bin": (b"\x00\xff", 1), "b c%20.txt": (b"two\nlines", 1),
+                   "late": (b"z", 2), "sub dir/x": (b"deep", 2)}
+
+
+def test_listing_opens_no_file(spark, tmp_path):
+    (tmp_path / "x").write_bytes(b"1")
+    plan = lg.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
