@@ -202,6 +202,7 @@ RANKED = "result AS (SELECT node, out_degree, round(rank, 6) AS rank FROM r{0})"
 twin("pagerank_step_supply", rank_steps(1, "supply_edges") + "," + RANKED.format(1), "supply_edges")
 twin("pagerank_3_iterations_parts", rank_steps(3, "part_edges") + "," + RANKED.format(3), "part_edges")
 twin("pagerank_3_iterations_supply", rank_steps(3, "supply_edges") + "," + RANKED.format(3), "supply_edges")
+twin("pagerank_resumed_parts", rank_steps(3, "part_edges") + "," + RANKED.format(3), "part_edges")
 twin("pagerank_3_iterations_events", rank_steps(3, "event_edges") + "," + RANKED.format(3), "event_edges")
 twin("pagerank_distinct_edges_parts", rank_steps(2, "part_edges", True) + "," + RANKED.format(2), "part_edges")
 twin("rank_states_union", rank_steps(1, "supply_edges") + """,
@@ -234,6 +235,18 @@ every_step AS (""" + " UNION ALL ".join(f"SELECT {i} AS k, node, rank FROM r{i}"
 result AS (
   SELECT node, round(rank, 6) AS rank FROM every_step WHERE k = (SELECT k FROM last_step))""", "part_edges")
 
+twin("pagerank_stored_until_converged_supply", rank_steps(4, "supply_edges") + "," + ",".join(f"""
+m{i} AS (
+  SELECT max(abs(coalesce(a.rank, 1) - coalesce(b.rank, 1))) AS delta
+  FROM r{i - 1} a FULL JOIN r{i} b ON a.node = b.node)""" for i in range(1, 5)) + """,
+last_step AS (
+  SELECT CASE WHEN (SELECT delta FROM m1) <= 0.3 THEN 1 WHEN (SELECT delta FROM m2) <= 0.3 THEN 2
+              WHEN (SELECT delta FROM m3) <= 0.3 THEN 3 ELSE 4 END AS k),
+every_step AS (""" + " UNION ALL ".join(f"SELECT {i} AS k, * FROM r{i}" for i in range(1, 5)) + """),
+result AS (
+  SELECT node, out_degree, round(rank, 6) AS rank FROM every_step
+  WHERE k = (SELECT k FROM last_step))""", "supply_edges")
+
 # Frontier
 
 FIRST = """
@@ -427,6 +440,13 @@ result AS (
      "manifest", "copied")
 
 
+twin("list_and_copy", """
+result AS (
+  SELECT 'part=' || CAST(doc_id % 12 AS VARCHAR) AS folder,
+         CAST(CASE WHEN doc_id % 12 < 5 THEN 1 ELSE 2 END AS BIGINT) AS taken, 'd' || CAST(doc_id AS VARCHAR) AS line
+  FROM documents)""")
+
+
 def bucket(name: str, n: int) -> str:
     """The bucket by comparing with every bound."""
     width = (1 << 160) // n

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -288,6 +289,24 @@ def pagerank_until_converged_parts(spark, sf):
         "node", rounded("rank"))
 
 
+@query
+def pagerank_resumed_parts(spark, sf):
+    """Two steps over a stored graph, and the third one by a later run."""
+    path = scratch_path(spark, "ranking")
+    first = lg.StoredRanking(spark, path)
+    first.begin(load(spark, sf, "part_edges"))
+    first.run(2)
+    return lg.StoredRanking(spark, path).run(3).select("node", "out_degree", rounded("rank"))
+
+
+@query
+def pagerank_stored_until_converged_supply(spark, sf):
+    """A stored ranking of a graph with nodes that link nowhere, until no rank moves by more than 0.3."""
+    ranking = lg.StoredRanking(spark, scratch_path(spark, "ranking"))
+    ranking.begin(load(spark, sf, "supply_edges"))
+    return ranking.run(4, tol=0.3).select("node", "out_degree", rounded("rank"))
+
+
 # Frontier
 
 
@@ -511,6 +530,20 @@ def files_to_copy_documents(spark, sf):
     return files_to_copy(load(spark, sf, "manifest"), load(spark, sf, "copied"), NOW_MS, settle_ms=60_000)
 
 
+@query
+def list_and_copy(spark, sf):
+    """Files written in two goes and copied by three runs, of which the last finds nothing: documents by folder and run."""
+    path = scratch_path(spark, "watched")
+    docs = load(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("value"), (
+        F.col("doc_id") % 12).alias("part"))
+    archive = lg.FileArchive(spark, f"{path}/archive", buckets=4)
+    for part in (F.col("part") < 5, F.col("part") >= 5, F.lit(False)):
+        docs.where(part).repartition("part").write.mode("append").partitionBy("part").text(f"{path}/files")
+        archive.copy_new(f"{path}/files", int(time.time() * 1000) + 120_000, recursive=True)
+    lines = F.explode(F.split(F.trim(F.decode("content", "UTF-8"), F.lit("\n")), "\n"))
+    return archive.read().select(F.split_part("key", F.lit("/"), F.lit(1)).alias("folder"), "taken", lines.alias("line"))
+
+
 @query
 def host_bucket_3(spark, sf):
     return load(spark, sf, "page_hosts").select("host", host_bucket(F.col("host"), 3).alias("bucket"))

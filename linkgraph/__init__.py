@@ -16,8 +16,10 @@ from linkgraph.operators.tables import clear, delete_keys, upsert
 from linkgraph.plans.frontier import frontier_round
 from linkgraph.plans.pagerank import pagerank, rank_edges, rank_states
 from linkgraph.plans.stored_frontier import StoredFrontier, StoredRound
+from linkgraph.plans.stored_ranking import StoredRanking
 from linkgraph.session import build_session
 from linkgraph.sources.documents import read_documents, write_documents
+from linkgraph.sources.files import FileArchive, list_files
 from linkgraph.sources.links import read_links, write_links
 from linkgraph.sources.ranks import (
     read_rank_state, read_rank_states, write_rank_state, write_ranks)

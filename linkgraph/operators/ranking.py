@@ -68,8 +68,8 @@ def link_graph(edges: DataFrame, distinct_edges: bool = False,
     spark = edges.sparkSession
     path = scratch_path(spark, "pairs")
     pairs = written(edge_pairs(edges, distinct_edges), path)
-    n, total = int(spark.conf.get("spark.sql.shuffle.partitions")), pairs.count()
-    limit = total * max(hub_share or 0, min(HUB_SHARE, 1 / n))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = hub_limit(pairs.count(), n, hub_share)
     nodes = _laid_out(degree_table(pairs), n, "node")
     hubs = nodes.where(F.col("fanout") > limit).select(F.col("node").alias("src")).persist()
     if hubs.isEmpty():
@@ -81,6 +81,11 @@ def link_graph(edges: DataFrame, distinct_edges: bool = False,
     return LinkGraph(nodes, _laid_out(cold, n, "src"), hot, hubs, path)
 
 
+def hub_limit(edges: int, partitions: int, hub_share: float | None = None) -> float:
+    """How many different targets a source may have before it is a hub."""
+    return edges * max(hub_share or 0, min(HUB_SHARE, 1 / partitions))
+
+
 def _laid_out(rows: DataFrame, n: int, key: str) -> DataFrame:
     """Cache ``rows`` partitioned and sorted by ``key``, so that steps neither shuffle nor sort them.
 
@@ -108,6 +113,11 @@ def initial_state(graph: LinkGraph) -> DataFrame:
         "node", "out_degree", F.lit(START_RANK).alias("rank"))
 
 
+def whole_state(graph: LinkGraph) -> DataFrame:
+    """Every node at the start rank, also those without links of their own, which pass nothing on."""
+    return graph.nodes.select("node", "out_degree", F.lit(START_RANK).alias("rank"))
+
+
 def pagerank_init(links: DataFrame, distinct_edges: bool = False) -> DataFrame:
     """``node, out_degree, rank`` of all sources of a link table, without building a graph."""
     pairs = to_edges(links).where(F.col("src") != F.col("dst"))
@@ -142,6 +152,18 @@ def pagerank_step(state: DataFrame, graph: LinkGraph, damping: float = DAMPING)
         "node", "out_degree", rank.alias("rank"))
 
 
+def measured_step(state: DataFrame, graph: LinkGraph, damping: float = DAMPING) -> DataFrame:
+    """The step after a state of all nodes (``whole_state`` at first), with ``delta``, what each rank moved by.
+
+    The old rank is at hand where the new one is made, so no join of two states is needed for it. The
+    state is read twice and should be kept.
+    """
+    received = contributions(state, graph)
+    rank = F.lit(1 - damping) + F.lit(damping) * F.coalesce("received", F.lit(0.0))
+    return state.join(received, F.col("node") == F.col("dst"), "left").select(
+        "node", "out_degree", rank.alias("rank"), F.abs(rank - F.col("rank")).alias("delta"))
+
+
 def rank_delta(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """``node, delta`` between two states; a node missing in one counts with the start rank there."""
     before = prev.select("node", F.col("rank").alias("before"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import closing
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from linkgraph.operators.edges import to_edges
 from linkgraph.operators.ranking import (
-    DAMPING, has_converged, initial_state, link_graph, pagerank_finish, pagerank_step, single_step)
+    DAMPING, initial_state, link_graph, measured_step, pagerank_finish, pagerank_step, single_step, whole_state)
 from linkgraph.session import checkpointed, drop_path, scratch_path, written
 
 
@@ -20,19 +21,40 @@ def rank_states(edges: DataFrame, damping: float = DAMPING, checkpoint_every: in
     neither the plan nor the work lost with an executor grows with the number of steps; with ``keep``, or next
     to hub edges, the others are cached in their layout. The graph is given up when the iterator is closed.
     """
+    with closing(_states(edges, damping, checkpoint_every, distinct_edges, keep, False)) as states:
+        for state, _ in states:
+            yield state
+
+
+def _states(edges: DataFrame, damping: float, checkpoint_every: int, distinct_edges: bool, keep: bool,
+            measure: bool) -> Iterator[tuple[DataFrame, float | None]]:
+    """States, each with the most that a rank moved by if that is to be measured.
+
+    The movement is a metric of the job that computes the state, so there is one job a step. Such a state is read
+    twice by the next step and therefore always written.
+    """
     graph = link_graph(edges, distinct_edges)
+    held: list[tuple[int, DataFrame]] = []
     try:
-        state, step, held = initial_state(graph), 0, []
+        state, step = initial_state(graph), 0
+        yield state, None
+        if measure:
+            state = whole_state(graph)
         while True:
-            yield state
             step += 1
-            following = pagerank_step(state, graph, damping)
-            if step % checkpoint_every == 0:
+            moved = Observation()
+            if measure:
+                following = measured_step(state, graph, damping).observe(
+                    moved, F.max("delta").alias("delta")).drop("delta")
+            else:
+                following = pagerank_step(state, graph, damping)
+            if measure or step % checkpoint_every == 0:
                 following = checkpointed(following)
             elif keep or graph.hub_edges is not None:
                 held.append((step, following.persist()))
                 following.count()
             state = following
+            yield state, (moved.get["delta"] or 0.0) if measure else None
             # what lies before the checkpoint before is read no more
             reached = step // checkpoint_every * checkpoint_every
             while held and held[0][0] < reached and held[0][0] < step - 1:
@@ -54,17 +76,13 @@ def rank_edges(edges: DataFrame, max_iter: int = 1, tol: float | None = None,
         state = checkpointed(single_step(written(edges.select("src", "dst"), pairs), damping, distinct_edges))
         drop_path(edges.sparkSession, pairs)
         return state
-    states = rank_states(edges, damping, checkpoint_every, distinct_edges, keep=tol is not None)
-    before = next(states)
-    for i in range(1, max_iter + 1):
-        state = next(states)
-        if tol is not None and i % check_every == 0 and has_converged(before, state, tol):
-            before = state
-            break
-        before = state
-    result = checkpointed(before)
-    states.close()
-    return result
+    with closing(_states(edges, damping, checkpoint_every, distinct_edges, False, tol is not None)) as states:
+        state, _ = next(states)
+        for i in range(1, max_iter + 1):
+            state, moved = next(states)
+            if tol is not None and i % check_every == 0 and moved <= tol:
+                break
+        return checkpointed(state)
 
 
 def release(cached: list[DataFrame]) -> None:

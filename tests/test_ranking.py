@@ -196,3 +196,70 @@ def test_stages_through_files(spark, tmp_path):
     lg.write_ranks(lg.pagerank_finish(after), path("ranks"), format="csv")
     lines = [r.value.split("\t") for r in spark.read.text(path("ranks")).collect()]
     assert {node: float(rank) for node, rank in lines} == pytest.approx(GOLDEN[3], abs=1e-9)
+
+
+def test_measured_steps_have_no_join_of_two_states(spark, links, monkeypatch):
+    """The same stop as by comparing whole states, without comparing them."""
+    edges = lg.to_edges(links)
+    states = lg.rank_states(edges)
+    before, steps = next(states), 0
+    for state in states:
+        steps += 1
+        if lg.has_converged(before, state, 0.25):
+            break
+        before = state
+    want = ranks(state)
+    states.close()
+    plain = lg.link_graph(edges)
+    joined = lg.operators.ranking.measured_step(lg.operators.ranking.whole_state(plain), plain)
+    assert "FullOuter" not in joined._jdf.queryExecution().executedPlan().toString()
+    plain.release()
+    monkeypatch.setattr("linkgraph.operators.ranking.has_converged", None)
+    assert steps == 3 and ranks(lg.rank_edges(edges, 9, tol=0.25)) == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize("share", [0.5, 0.05])
+def test_a_stored_ranking_goes_on(spark, tmp_path, share):
+    rows, path = hub_edges(7), str(tmp_path / "ranking")
+    edges = spark.createDataFrame(rows, "src string, dst string")
+    first = lg.StoredRanking(spark, path)
+    assert first.steps() == 0 and first.moved() is None
+    assert first.begin(edges, hub_share=share)
+    assert (first.graph().hub_edges is None) == (share == 0.5)
+    assert ranks(first.state()) == {s: 1.0 for s, t in rows if s != t}
+    first.run(3)
+    layout = {p: p.stat().st_mtime_ns for p in (tmp_path / "ranking" / "edges").iterdir()}
+    # rows of a step without its mark
+    (tmp_path / "ranking" / "state" / "version=4").mkdir()
+    (tmp_path / "ranking" / "state" / "version=4" / "part-0.parquet").write_text("cut off")
+
+    later = lg.StoredRanking(spark.newSession(), path)
+    assert not later.begin(edges) and later.steps() == 3
+    assert ranks(later.run(5)) == pytest.approx(brute_force(rows, 5), abs=1e-9)
+    assert layout == {p: p.stat().st_mtime_ns for p in (tmp_path / "ranking" / "edges").iterdir()}
+    deltas = lg.rank_delta(later.state(4), later.state(5))
+    assert later.moved() == pytest.approx(lg.max_delta(deltas).first()[0], abs=1e-12)
+    assert later.run(9, tol=1e6).count() == later.state(5).count()  # the last step already moved by less
+    later.forget()
+    assert sorted(p.name for p in (tmp_path / "ranking" / "state").iterdir()) == ["version=5"]
+
+
+def test_a_stored_step_shuffles_contributions_only(spark, tmp_path):
+    """With broadcast joins off, as at scale: one exchange, that of the sums by target."""
+    edges = spark.range(20_000).select(F.concat(F.lit("n"), F.col("id") % 4000).alias("src"),
+                                       F.concat(F.lit("n"), F.col("id") * 7 % 3999).alias("dst"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranking = lg.StoredRanking(spark, str(tmp_path / "ranking"))
+        ranking.begin(edges)
+        ranking.step()
+        plan = lg.operators.ranking.measured_step(ranking.state(), ranking.graph())
+        assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_stored_ranking_without_edges(spark, tmp_path):
+    ranking = lg.StoredRanking(spark, str(tmp_path / "ranking"))
+    ranking.begin(spark.createDataFrame([], "src string, dst string"))
+    assert ranking.run(3, tol=0.1).collect() == [] and ranking.steps() == 1
