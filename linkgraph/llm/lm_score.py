@@ -5,33 +5,34 @@ contexts. A byte seen c times in its longest context, which was seen t times wit
 probability (2c - 1) / 2t there; otherwise the model escapes to the shorter context with d / 2t (method D), and
 bytes of the longer context are excluded. The code length of a text is the sum over its bytes and one end mark.
 
-Counting, joining and scoring are Spark jobs. Workers get the trie, of at most ``capacity`` nodes an order, and
-the counts of at most ``head_words`` frequent words; rarer words are looked up by a join on the word.
+The length of a byte depends on nothing but the byte and its longest context. Workers get the lengths of at most
+``capacity`` frequent ones, and the counts of at most ``head_words`` frequent words. All others, seen or not, are
+looked up by joins: the different ones of all texts go from the longest context to the shortest, each with the
+bytes it has excluded. So the trie is a table, no node of it is left out, and scores are the same at any capacity.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from linkgraph.llm.batches import long_texts
-from linkgraph.llm.scratch import Scratch
 from linkgraph.llm.words import PIECE, binary, hash_words, lowered
 from linkgraph.session import scratch_path, written
 
 ORDER = 5
-CAPACITY = 1 << 21
+CAPACITY = 1 << 20
 HEAD_WORDS = 1 << 19
 BEFORE, AFTER = 0xFE, 0xFF  # bytes that UTF-8 never has: before the text, and its end
 END_WORD = np.uint64(0x7E0F7E0F7E0F7E0F)
 FLUSH = 1 << 21  # different keys that a task gathers before it passes counts on
 SYMBOLS = 256
+CHILDREN = "array<struct<symbol:int,n:bigint>>"
 GRAM, WORD = 0, 1
 
 
@@ -154,80 +155,74 @@ def _table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return slots, held
 
 
-@dataclass
-class Ppm:
-    """A trie of byte contexts: for each order sorted codes of context and byte, with counts."""
+def contexts_of(counts: DataFrame, order: int) -> DataFrame:
+    """``k``, ``context``, ``children``: of every order the bytes that followed a context, at most 257, with counts."""
+    nodes = counts.where(F.col("kind") == GRAM).select("n", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col("key").bitwiseAND((1 << (8 * (k + 1))) - 1).alias("code"))
+        for k in range(order + 1)])).alias("node")).groupBy("node.k", "node.code").agg(F.sum("n").alias("n"))
+    child = F.struct(F.col("code").bitwiseAND(255).cast("int").alias("symbol"), "n")
+    return nodes.groupBy("k", F.shiftright("code", 8).alias("context")).agg(F.collect_list(child).alias("children"))
+
+
+def _total(children: str) -> Column:
+    return F.aggregate(children, F.lit(0).cast("bigint"), lambda sum_, child: sum_ + child["n"]) * 2
+
 
-    codes: list[np.ndarray]
-    counts: list[np.ndarray]
+def seen_costs(contexts: DataFrame, order: int) -> DataFrame:
+    """``code``, ``n``, ``cost``: log10 probabilities of the bytes that their longest context has had."""
+    longest = contexts.where(F.col("k") == order).select("context", _total("children").alias("total"),
+                                                         F.explode("children").alias("child"))
+    return longest.select(
+        (F.shiftleft("context", 8) + F.col("child.symbol")).alias("code"), F.col("child.n").alias("n"),
+        F.log10((F.col("child.n") * 2 - 1) / F.col("total")).alias("cost"))
+
+
+def code_costs(codes: DataFrame, contexts: DataFrame, order: int) -> DataFrame:
+    """``code``, ``cost``: log10 probabilities of any bytes after their contexts (``code``, all different).
+
+    One join an order, from the longest context down, until a context has had the byte.
+    """
+    rows = codes.select("code", F.lit(0.0).alias("cost"), F.lit(False).alias("found"),
+                        F.array().cast("array<int>").alias("excluded"))
+    for k in range(order, -1, -1):
+        lists = contexts.where(F.col("k") == k).select("context", "children")
+        context = F.shiftright("code", 8).bitwiseAND((1 << (8 * k)) - 1)
+        # one context of order 0 and 256 of order 1, so these are broadcast
+        rows = rows.withColumn("context", F.when(~F.col("found"), context)).join(
+            F.broadcast(lists) if k <= 1 else lists, "context", "left")
+        free = F.filter(F.coalesce("children", F.array().cast(CHILDREN)),
+                        lambda child: ~F.array_contains("excluded", child["symbol"]))
+        rows = rows.withColumn("free", free)
+        rows = rows.withColumns({"total": _total("free"), "own": F.get(F.filter(
+            "free", lambda child: child["symbol"] == F.col("code").bitwiseAND(255)), F.lit(0))})
+        here, any_ = F.col("own").isNotNull(), F.size("free") > 0
+        length = F.when(here, F.log10((F.col("own.n") * 2 - 1) / F.col("total"))).when(
+            any_, F.log10(F.size("free") / F.col("total"))).otherwise(0.0)
+        more = F.when(here, F.col("excluded")).otherwise(
+            F.concat("excluded", F.transform("free", lambda child: child["symbol"])))
+        rows = rows.select("code", (F.col("cost") + length).alias("cost"), (F.col("found") | here).alias("found"),
+                           more.alias("excluded"))
+    never = F.log10(F.lit(SYMBOLS) - F.size("excluded"))
+    return rows.select("code", (F.col("cost") - F.when(F.col("found"), 0.0).otherwise(never)).alias("cost"))
+
+
+class Frequent(NamedTuple):
+    """What every worker gets: a table of frequent codes with lengths, frequent words as sorted hashes with log counts."""
+
+    order: int
     slots: np.ndarray
     held: np.ndarray
-
-    @classmethod
-    def of(cls, codes: list[np.ndarray], counts: list[np.ndarray]) -> "Ppm":
-        keys, n = codes[-1], counts[-1]
-        if not len(keys):
-            return cls(codes, counts, *_table(keys, n))
-        context = keys >> np.uint64(8)
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        total = np.add.reduceat(n, first)
-        different = np.diff(np.append(first, len(keys)))
-        group = np.repeat(np.arange(len(first)), different)
-        return cls(codes, counts, *_table(keys, np.log10((2 * n - 1) / (2 * total)[group])))
-
-    def unseen(self, code: int) -> float:
-        """log10 probability of a byte that its longest context has not had."""
-        order, symbol, logp = len(self.codes) - 1, code & 255, 0.0
-        excluded = np.zeros(SYMBOLS, dtype=bool)
-        for k in range(order, -1, -1):
-            context = (code >> 8) & ((1 << (8 * k)) - 1)
-            low, high = np.searchsorted(self.codes[k], np.array([context << 8, (context << 8) + 256], dtype=np.uint64))
-            symbols = (self.codes[k][low:high] & np.uint64(255)).astype(np.int64)
-            free = ~excluded[symbols]
-            symbols, counts = symbols[free], self.counts[k][low:high][free]
-            if len(symbols):
-                total = 2 * int(counts.sum())
-                here = np.flatnonzero(symbols == symbol)
-                if len(here):
-                    return logp + math.log10((2 * int(counts[here[0]]) - 1) / total)
-                logp += math.log10(len(symbols) / total)
-                excluded[symbols] = True
-        return logp - math.log10(SYMBOLS - int(excluded.sum()))
-
-    def score(self, data: np.ndarray, known: dict[int, float]) -> float:
-        """log10 probability of a lower-cased text and its end; ``known`` keeps what ``unseen`` has worked out."""
-        total, mask = 0.0, len(self.slots) - 1
-        for codes in context_codes(data, len(self.codes) - 1):
-            at = _places(codes, len(self.slots))
-            found = self.slots[at]
-            hit = found == codes
-            total += float(self.held[at[hit]].sum(dtype=np.float64))
-            left = np.flatnonzero(~hit)
-            while len(left):
-                ended = self.slots[at[left]] == np.uint64(0xFFFFFFFFFFFFFFFF)
-                for code in codes[left[ended]].tolist():
-                    if code not in known:
-                        if len(known) > 1 << 18:
-                            known.clear()
-                        known[code] = self.unseen(code)
-                    total += known[code]
-                left = left[~ended]
-                at[left] = (at[left] + 1) & mask
-                hit = self.slots[at[left]] == codes[left]
-                total += float(self.held[at[left[hit]]].sum(dtype=np.float64))
-                left = left[~hit]
-        return total
-
-
-@dataclass
-class CorpusModel:
-    """The trie, the frequent words as sorted hashes with counts, the table of all counts, and its totals."""
-
-    ppm: Ppm
     head: np.ndarray
-    head_counts: np.ndarray
+    logs: np.ndarray
+
+
+class CorpusModel(NamedTuple):
+    """The frequent part, the tables of all counts and of all contexts, and the totals of words."""
+
+    frequent: Frequent
     head_from: int
     counts: DataFrame
+    contexts: DataFrame
     tokens: int
     words: int
 
@@ -236,57 +231,67 @@ def fit_lm(docs: DataFrame, text_col: str = "text", order: int = ORDER, capacity
            head_words: int = HEAD_WORDS) -> CorpusModel:
     """Count all texts of ``docs`` (null: empty). An empty table gives a model that knows nothing.
 
-    Of each order the most frequent nodes are kept, as many as ``capacity`` allows; a shorter context stands
-    in for a longer one that is not kept. Nothing is left out as long as the nodes fit.
+    ``capacity`` and ``head_words`` say how many codes and words go to the workers; they do not change a score.
     """
     spark = docs.sparkSession
     counts = written(corpus_counts(docs, text_col, order), scratch_path(spark, "counts"))
-    grams, words = counts.where(f"kind = {GRAM}"), counts.where(f"kind = {WORD}").select("key", "n")
-    nodes = grams.select("n", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col("key").bitwiseAND((1 << (8 * (k + 1))) - 1).alias("code"))
-        for k in range(order + 1)])).alias("node")).groupBy("node.k", "node.code").agg(F.sum("n").alias("n"))
-    scratch = Scratch(spark)
-    nodes = scratch.write(nodes, "nodes")
-    least = thresholds(nodes, capacity, "k")
-    fits = [F.when(F.col("k") == k, F.col("n") >= n) for k, n in least.items()]
-    kept = nodes.where(F.coalesce(*fits) if fits else F.lit(False)).toArrow()
-    scratch.drop()
-    codes, sums = [], []
-    for k in range(order + 1):
-        own = kept.filter(pc.equal(kept["k"], k))
-        code = own["code"].to_numpy().view(np.uint64)
-        ranked = np.argsort(code)
-        codes.append(code[ranked])
-        sums.append(own["n"].to_numpy()[ranked])
+    contexts = written(contexts_of(counts, order), scratch_path(spark, "contexts"))
+    words = counts.where(f"kind = {WORD}").select("key", "n")
+    costs = seen_costs(contexts, order)
+    from_n = thresholds(costs.withColumn("k", F.lit(0)), capacity, "k").get(0, 1)
+    common = costs.where(F.col("n") >= from_n).select("code", "cost").toArrow()
+    slots, held = _table(common["code"].to_numpy().view(np.uint64), common["cost"].to_numpy())
     head_from = thresholds(words.withColumn("k", F.lit(0)), head_words, "k").get(0, 1)
     head = words.where(F.col("n") >= head_from).toArrow()
     keys = head["key"].to_numpy().view(np.uint64)
     ranked = np.argsort(keys)
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    return CorpusModel(Ppm.of(codes, sums), keys[ranked], head["n"].to_numpy()[ranked], head_from, counts,
-                       totals[0], totals[1])
+    frequent = Frequent(order, slots, held, keys[ranked], np.log10(head["n"].to_numpy()[ranked] + 1.0))
+    return CorpusModel(frequent, head_from, counts, contexts, totals[0], totals[1])
 
 
-def _scored(ppm: Ppm, head: np.ndarray, logs: np.ndarray, texts: Iterator[bytes | None],
-            known: dict[int, float]) -> dict[str, list]:
-    """Per text: tokens, tokens among the frequent words, their log counts, PPM's score, other words."""
-    made = {name: [] for name in ("tokens", "common", "head", "ppm", "rare")}
+def _looked_up(slots: np.ndarray, held: np.ndarray, codes: np.ndarray) -> tuple[float, np.ndarray]:
+    """The summed lengths of the codes that are in the table, and the other codes."""
+    at, left = _places(codes, len(slots)), np.arange(len(codes))
+    total, others = 0.0, []
+    while len(left):
+        found = slots[at[left]]
+        hit, ended = found == codes[left], found == np.uint64(0xFFFFFFFFFFFFFFFF)
+        total += float(held[at[left[hit]]].sum(dtype=np.float64))
+        others.append(codes[left[ended]])
+        left = left[~(hit | ended)]
+        at[left] = (at[left] + 1) & (len(slots) - 1)
+    return total, np.concatenate(others) if others else codes[:0]
+
+
+def _scored(model: Frequent, texts: Iterator[bytes | None]) -> dict[str, list]:
+    """Per text: tokens, tokens among the frequent words, their log counts, the length of frequent codes, the rest."""
+    _, slots, held, head, logs = model
+    made = {name: [] for name in ("tokens", "common", "head", "ppm")}
+    kinds, keys, times, ends = [], [], [], [0]
     for text in texts:
         data = lowered(text)
         words = text_words(data)
         at = np.minimum(np.searchsorted(head, words), max(0, len(head) - 1))
         common = head[at] == words if len(head) else np.zeros(len(words), dtype=bool)
-        rare, times = np.unique(words[~common], return_counts=True)
+        pieces = [_looked_up(slots, held, codes) for codes in context_codes(data, model.order)]
         made["tokens"].append(len(words))
         made["common"].append(int(common.sum()))
         made["head"].append(float(logs[at[common]].sum()) if len(head) else 0.0)
-        made["ppm"].append(ppm.score(data, known))
-        made["rare"].append([{"word": word, "n": n}
-                             for word, n in zip(rare.view(np.int64).tolist(), times.tolist())])
-    return made
+        made["ppm"].append(sum(total for total, _ in pieces))
+        ends.append(ends[-1])
+        for kind, rare in ((WORD, words[~common]), (GRAM, np.concatenate([rest for _, rest in pieces]))):
+            different, n = np.unique(rare, return_counts=True)
+            kinds.append(np.full(len(different), kind, dtype=np.int32))
+            keys.append(different.view(np.int64))
+            times.append(n.astype(np.int64))
+            ends[-1] += len(different)
+    flat = [np.concatenate(parts) if parts else np.empty(0, dtype=kind)
+            for parts, kind in ((kinds, np.int32), (keys, np.int64), (times, np.int64))]
+    rows = pa.StructArray.from_arrays([pa.array(values) for values in flat], names=["kind", "key", "n"])
+    return {**made, "rare": pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), rows)}
 
 
-RARE = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -295,37 +300,41 @@ def score_lm(docs: DataFrame, model: CorpusModel, text_col: str = "text") -> Dat
 
     Whole texts are scored, null as empty; A-Z are lower-cased. ``score`` is PPM's log10 probability of the
     text with its end, ``base_score`` that of the words with add-one counts. Repeated rows are scored each for
-    itself. Columns of ``docs`` that have the name of a result are replaced.
+    itself. Columns of ``docs`` that have the name of a result are replaced; all others travel as one.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.ppm, model.head, np.log10(model.head_counts + 1.0)))
+    spark, order = docs.sparkSession, model.frequent.order
+    shared = spark.sparkContext.broadcast(tuple(model.frequent))
     kept = [c for c in docs.columns if c != text_col and c not in RESULTS]
-    rows = long_texts(docs).select(F.col(text_col).alias("__text"), *kept)
+    rest = F.struct(*[docs[f"`{c}`"] for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
+    rows = long_texts(docs).select(docs[f"`{text_col}`"].alias("text"), rest.alias("rest"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, float] = {}
+        frequent = Frequent(*shared.value)
         for batch in batches:
-            made = _scored(*shared.value, (text.as_py() for text in binary(batch.column(0))), known)
-            made["rare"] = pa.array(made["rare"], type=RARE)
+            made = _scored(frequent, (text.as_py() for text in binary(batch.column(0))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *(pa.array(values) for values in made.values())],
-                names=[*kept, *(f"__{name}" for name in made)])
+                [batch.column(1), *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())],
+                names=["rest", *made])
 
-    schema = T.StructType([*rows.drop("__text").schema.fields, *T.StructType.fromDDL(
-        "__tokens bigint, __common bigint, __head double, __ppm double, "
-        "__rare array<struct<word:bigint,n:bigint>>").fields])
+    schema = T.StructType([rows.schema["rest"], *T.StructType.fromDDL(
+        "tokens bigint, common bigint, head double, ppm double, rare array<struct<kind:int,key:bigint,n:bigint>>").fields])
     # rows get a number in a written table, so that both sides of the last join mean the same rows
-    done = written(rows.mapInArrow(scored, schema).withColumn("__row", F.monotonically_increasing_id()),
+    done = written(rows.mapInArrow(scored, schema).withColumn("row", F.monotonically_increasing_id()),
                    scratch_path(spark, "scored"))
-    rare_counts = model.counts.where((F.col("kind") == WORD) & (F.col("n") < model.head_from)).select(
-        F.col("key").alias("word"), F.col("n").alias("count"))
-    rare = (done.select("__row", F.explode("__rare").alias("r")).select("__row", "r.word", "r.n")
-            .join(rare_counts, "word").groupBy("__row")
-            .agg(F.sum(F.col("n") * F.log10(F.col("count") + 1.0)).alias("__tail"), F.sum("n").alias("__rarely")))
-    unit = math.log10(model.tokens + (model.words + 1))
-    return done.join(rare, "__row", "left").select(
-        *kept, F.col("__tokens").alias("n_tokens"),
-        (F.col("__common") + F.coalesce("__rarely", F.lit(0))).alias("n_known"),
+    others = done.select("row", F.explode("rare").alias("r")).select("row", "r.kind", "r.key", "r.n")
+    codes = others.where(F.col("kind") == GRAM).select(F.col("key").alias("code")).distinct()
+    lengths = code_costs(codes, model.contexts, order).select(
+        F.lit(GRAM).alias("kind"), F.col("code").alias("key"), F.col("cost").alias("value"))
+    rare_words = model.counts.where((F.col("kind") == WORD) & (F.col("n") < model.head_from)).select(
+        "kind", "key", F.log10(F.col("n") + 1.0).alias("value"))
+    word = F.col("kind") == WORD
+    found = others.join(lengths.unionByName(rare_words), ["kind", "key"]).groupBy("row").agg(
+        F.sum(F.when(word, F.col("n") * F.col("value"))).alias("tail"), F.sum(F.when(word, F.col("n"))).alias("rarely"),
+        F.sum(F.when(~word, F.col("n") * F.col("value"))).alias("others"))
+    unit, none = math.log10(model.tokens + (model.words + 1)), F.lit(0.0)
+    return done.join(found, "row", "left").select(
+        *[F.col("rest")[c].alias(c) for c in kept], F.col("tokens").alias("n_tokens"),
+        (F.col("common") + F.coalesce("rarely", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("__head") + F.coalesce("__tail", F.lit(0.0)) - F.col("__tokens") * F.lit(unit)).alias("base_score"),
-        F.col("__ppm").alias("score"))
+        (F.col("head") + F.coalesce("tail", none) - F.col("tokens") * F.lit(unit)).alias("base_score"),
+        (F.col("ppm") + F.coalesce("others", none)).alias("score"))
