@@ -29,31 +29,50 @@ def complete_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(n for n in numbers if "_SUCCESS" in names_in(spark, f"{path}/version={n}"))
 
 
+def _fields(columns: str) -> list:
+    return StructType.fromDDL(columns).fields
+
+
 class LiveFolders:
     """The folders of one table. ``part_type`` is the type of what rows are dealt by."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, part_type: str = "bigint"):
         self.spark, self.path, self.schema, self.part_type = spark, path.rstrip("/"), schema, part_type
-        self.entry_schema = f"kind string, version bigint, part {part_type}, n bigint"
+        self.entry_schema = f"kind string, version bigint, part {part_type}, last {part_type}, n bigint"
 
     def latest(self) -> int:
         """The number of the last complete version; 0 for a new table."""
         return max(complete_versions(self.spark, f"{self.path}/manifest"), default=0)
 
     def live(self, version: int) -> DataFrame:
-        """``kind, version, part, n`` of the folders that are live in a version."""
+        """``kind, version, part, last, n`` of the folders that are live in a version.
+
+        A folder holds the parts from ``part`` to ``last``, one part as a rule.
+        """
         if not version:
             return self.spark.createDataFrame([], self.entry_schema)
-        return self.spark.read.schema(self.entry_schema).parquet(f"{self.path}/manifest/version={version}")
+        return self.spark.read.schema(self.entry_schema).parquet(f"{self.path}/manifest/version={version}").withColumn(
+            "last", F.coalesce("last", "part"))
+
+    def write(self, rows: DataFrame, version: int, part: Column, kind: str = "rows",
+              lows: list | None = None) -> DataFrame:
+        """Write rows into folders by ``part``, large parts spread over files; the entries of these folders.
 
-    def write(self, rows: DataFrame, version: int, part: Column, kind: str = "rows") -> DataFrame:
-        """Write rows into folders by ``part``, large parts spread over files; the entries of these folders."""
+        With ``lows`` (parts in order, the first of them the least) a folder holds the parts from one to the next.
+        """
         folder = f"{self.path}/{kind}/version={version}"
-        (balanced_by(rows.select(*self.schema.names, part.cast(self.part_type).alias(PART)), PART)
+        part = part.cast(self.part_type)
+        name = part
+        if lows is not None:
+            bounds = F.array(*[F.lit(low).cast(self.part_type) for low in lows])
+            name = F.try_element_at(F.filter(bounds, lambda low: low <= part), F.lit(-1))
+        (balanced_by(rows.select(*self.schema.names, name.alias(PART)), PART)
          .write.mode("overwrite").partitionBy(PART).parquet(folder))
-        return (self.spark.read.schema(f"{PART} {self.part_type}").parquet(folder).groupBy(F.col(PART).alias("part"))
-                .agg(F.count(F.lit(1)).alias("n"))
-                .select(F.lit(kind).alias("kind"), F.lit(version).cast("bigint").alias("version"), "part", "n"))
+        schema = StructType([*self.schema.fields, *_fields(f"{PART} {self.part_type}")])
+        last = F.col(PART) if lows is None else part
+        return (self.spark.read.schema(schema).parquet(folder).groupBy(F.col(PART).alias("part"))
+                .agg(F.max(last).alias("last"), F.count(F.lit(1)).alias("n"))
+                .select(F.lit(kind).alias("kind"), F.lit(version).cast("bigint").alias("version"), "part", "last", "n"))
 
     def read(self, entries: list[Row]) -> DataFrame:
         """The rows of some folders; no other folder is looked at."""

@@ -56,6 +56,37 @@ def test_only_due_slots_are_opened(spark):
     assert {p.split("part__=")[1].split("/")[0] for p in first.rows.inputFiles()} == {"0", "1"}
 
 
+def test_many_slots_lie_in_few_folders(spark, monkeypatch):
+    monkeypatch.setattr(ordered_module, "MANY_PARTS", 5)
+    monkeypatch.setattr(ordered_module, "MANY_FOLDERS", 4)
+    rng = random.Random(2)
+    rows = [(f"u{i}", rng.choice([i * 1000, rng.randrange(300) * 1000, None if i % 50 == 0 else 7])) for i in range(300)]
+    queue, left = slots(spark, rows, parts=3), sorted(rows, key=lambda r: (r[1] is not None, r[1], r[0]))
+    assert queue.folders.live(queue.latest()).count() <= 15
+    assert {tuple(r) for r in queue.read().collect()} == set(left)
+    for n in (2, 31, 150):
+        assert {tuple(r) for r in queue.pop_first(n).collect()} == set(left[:n])
+        left = left[n:]
+    queue.put(spark.createDataFrame([(f"v{i}", i * 1000) for i in range(300)], URL_TIME))
+    left = sorted(left + [(f"v{i}", i * 1000) for i in range(300)], key=lambda r: (r[1], r[0]))
+    assert pairs(queue.pop_due(18_500, 6)) == sorted(left[:6])
+    left = left[6:]
+    for now, n in ((18_500, 400), (100_000, None)):
+        assert pairs(queue.pop_due(now, n)) == sorted(r for r in left if r[1] < now + 2000)
+        left = [r for r in left if r[1] >= now + 2000]
+    assert pairs(queue.read()) == sorted(left)
+    for k in range(6):
+        queue.put(spark.createDataFrame([(f"{k}w{i}", i * 1000) for i in range(40)], URL_TIME))
+    assert queue.read().count() == len(left) + 240 and queue.folders.live(queue.latest()).count() <= 40
+
+
+def test_keys_that_are_null_stay_and_count(spark):
+    frame = spark.createDataFrame([(None,), *((f"u{i:03}",) for i in range(200))], "url string")
+    queue = lg.OrderedTable(spark, scratch_path(spark, "keys"), frame.schema, ("url",), lg.prefix_part("url", 9), "string")
+    queue.put(frame)
+    assert sorted(r["url"] for r in queue.pop_first(5).collect()) == [f"u{i:03}" for i in range(4)]
+
+
 def test_a_row_without_a_time_is_due_at_once(spark):
     queue = slots(spark, [("a", None), ("b", 10_000), ("c", 0)], parts=1)
     assert {r["url"] for r in queue.pop_due(0).collect()} == {"a", "c"}
