@@ -109,6 +109,27 @@ def test_due_releases_each_url_once_and_in_time(spark, tmp_path):
             assert got[url] == min(b for b in range(arrived, 6) if at < max(clock[:b + 1]) + 2000)
 
 
+def test_due_writes_few_folders_however_far_urls_reach(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", "url string, next_request_ms bigint")
+    urls = [(f"u{i}", i * 1000) for i in range(2000)] + [("far", 10**15), ("before", -5)]
+    source.add(urls)
+    for _ in range(6):
+        source.add([])
+    clock = [0, 30_000, 70_000, 70_500, 1_000_000, 1_990_000, 10**15]
+
+    def run(state, batches):
+        done(start_due(source.stream(), str(tmp_path / "out"), str(tmp_path / state), horizon_ms=0, slot_ms=1000,
+                       clock=lambda b: clock[b] - (b == 0 and state == "first") * 40_000, available_now=True))
+
+    run("first", 1)  # a new state folder makes batch 0 run again, at another time
+    run("second", 7)
+    assert len(list((tmp_path / "out/waiting").glob("slot=*"))) <= 64 * 2 + 2000 // 64 + 2
+    got = {r.url: r.batch for r in spark.read.parquet(str(tmp_path / "out/due")).collect()}
+    rows = spark.read.parquet(str(tmp_path / "out/due")).count()
+    want = {url: min(b for b in range(7) if at < clock[b] or at < 0) for url, at in urls if at < clock[6]}
+    assert got == want and rows == len(want)
+
+
 def test_due_is_released_without_a_further_arrival(spark, tmp_path):
     source = Source(spark, tmp_path / "in", "url string, next_request_ms bigint")
     source.add([("now", 0), ("soon", 7_000), ("later", 10**12), ("untimed", None)])
