@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from contextlib import closing
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,7 +18,7 @@ from linkgraph.functions.urls import host_of, url_parts
 from linkgraph.operators.edges import edge_pairs
 from linkgraph.operators.ranking import contributions
 from linkgraph.operators.skew import order_splits
-from linkgraph.session import checkpointed, scratch_path
+from linkgraph.session import checkpointed, scratch_path, written
 from linkgraph.sources.documents import read_documents, write_documents
 from linkgraph.sources.links import link_lines, parse_links, write_links
 from linkgraph.sources.urls import distinct_urls, files_to_copy, split_seeds
@@ -199,6 +201,11 @@ def ranked(edges: DataFrame, steps: int, **options) -> DataFrame:
     return lg.rank_edges(edges, max_iter=steps, **options)
 
 
+def kept_edges(spark, sf, name: str) -> DataFrame:
+    """Edges that are read more than once, derived once."""
+    return written(load(spark, sf, name), scratch_path(spark, "edges"))
+
+
 @query
 def pagerank_step_supply(spark, sf):
     state = ranked(load(spark, sf, "supply_edges"), 1)
@@ -229,7 +236,7 @@ def pagerank_distinct_edges_parts(spark, sf):
 
 @query
 def rank_states_union(spark, sf):
-    edges = load(spark, sf, "supply_edges")
+    edges = kept_edges(spark, sf, "supply_edges")
     return ranked(edges, 0).unionByName(ranked(edges, 1)).select("node", rounded("rank"))
 
 
@@ -237,7 +244,7 @@ def rank_states_union(spark, sf):
 def read_rank_state_files(spark, sf):
     """Two states on disk, as Parquet (written over another one) and in their text form, read as one table."""
     path = scratch_path(spark, "states")
-    edges = load(spark, sf, "supply_edges")
+    edges = kept_edges(spark, sf, "supply_edges")
     first = ranked(edges, 0)
     lg.write_rank_state(first.limit(5), f"{path}/0")
     lg.write_rank_state(first, f"{path}/0", mode="overwrite")
@@ -259,15 +266,17 @@ def rank_files_round_trip(spark, sf):
 
 @query
 def rank_delta_supply(spark, sf):
-    edges = load(spark, sf, "supply_edges")
+    edges = kept_edges(spark, sf, "supply_edges")
     deltas = lg.rank_delta(ranked(edges, 0), ranked(edges, 1))
     return deltas.select("node", rounded("delta"))
 
 
 @query
 def max_delta_supply(spark, sf):
-    edges = load(spark, sf, "supply_edges")
-    return lg.max_delta(lg.rank_delta(ranked(edges, 1), ranked(edges, 2))).select(rounded("max_delta"))
+    """The first and the second state of one graph."""
+    with closing(lg.rank_states(load(spark, sf, "supply_edges"))) as states:
+        _, first, second = islice(states, 3)
+        return checkpointed(lg.max_delta(lg.rank_delta(first, second))).select(rounded("max_delta"))
 
 
 @query

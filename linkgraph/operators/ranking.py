@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from linkgraph.operators.edges import edge_pairs, to_edges
+from linkgraph.operators.edges import drop_self_links, edge_pairs, to_edges
 from linkgraph.session import drop_path, scratch_path, written
 
 # Damping and the rank of a node before the first step.
@@ -120,9 +120,13 @@ def whole_state(graph: LinkGraph) -> DataFrame:
 
 def pagerank_init(links: DataFrame, distinct_edges: bool = False) -> DataFrame:
     """``node, out_degree, rank`` of all sources of a link table, without building a graph."""
-    pairs = to_edges(links).where(F.col("src") != F.col("dst"))
+    return start_state(to_edges(links), distinct_edges)
+
+
+def start_state(edges: DataFrame, distinct_edges: bool = False) -> DataFrame:
+    """State 0 of an edge table, by one sum: neither pairs nor targets are needed for it."""
     degree = F.countDistinct("dst") if distinct_edges else F.count(F.lit(1))
-    return pairs.groupBy(F.col("src").alias("node")).agg(degree.alias("out_degree")).withColumn(
+    return drop_self_links(edges).groupBy(F.col("src").alias("node")).agg(degree.alias("out_degree")).withColumn(
         "rank", F.lit(START_RANK))
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from linkgraph.operators.edges import to_edges
 from linkgraph.operators.ranking import (
-    DAMPING, initial_state, link_graph, measured_step, pagerank_finish, pagerank_step, single_step, whole_state)
+    DAMPING, initial_state, link_graph, measured_step, pagerank_finish, pagerank_step, single_step, start_state,
+    whole_state)
 from linkgraph.session import checkpointed, drop_path, scratch_path, written
 
 
@@ -69,8 +70,10 @@ def rank_edges(edges: DataFrame, max_iter: int = 1, tol: float | None = None,
                distinct_edges: bool = False) -> DataFrame:
     """The state after ``max_iter`` steps, or fewer once no rank moves by more than ``tol``.
 
-    A single step without a test needs no graph laid out for more.
+    No step, and a single one without a test, need no graph laid out for more.
     """
+    if max_iter == 0:
+        return checkpointed(start_state(edges, distinct_edges))
     if max_iter == 1 and tol is None:
         pairs = scratch_path(edges.sparkSession, "pairs")
         state = checkpointed(single_step(written(edges.select("src", "dst"), pairs), damping, distinct_edges))

@@ -4,7 +4,11 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import catalog.queries as query_catalog
 import linkgraph as lg
+import linkgraph.plans.pagerank as pagerank_plan
+from catalog.inputs import load as inputs_load
+from catalog.queries import QUERIES
 from linkgraph.operators.ranking import contributions
 from linkgraph.sources.links import parse_links
 
@@ -263,3 +267,43 @@ def test_a_stored_ranking_without_edges(spark, tmp_path):
     ranking = lg.StoredRanking(spark, str(tmp_path / "ranking"))
     ranking.begin(spark.createDataFrame([], "src string, dst string"))
     assert ranking.run(3, tol=0.1).collect() == [] and ranking.steps() == 1
+
+
+def test_state_zero_needs_no_graph(spark, monkeypatch):
+    edges = spark.createDataFrame(
+        [("a", "b"), ("a", "b"), ("a", "c"), ("b", "b"), ("b", None), ("c", "a"), ("d", "d")], "src string, dst string")
+    for distinct in (False, True):
+        graph = lg.link_graph(edges, distinct)
+        want = sorted(map(tuple, lg.initial_state(graph).collect()))
+        graph.release()
+        with monkeypatch.context() as without:
+            without.setattr("linkgraph.plans.pagerank.link_graph", None)
+            state = lg.rank_edges(edges, max_iter=0, distinct_edges=distinct)
+        assert sorted(map(tuple, state.collect())) == want == [("a", 2 if distinct else 3, 1.0), ("c", 1, 1.0)]
+
+
+def small_orders(spark, tmp_path):
+    spark.range(400).selectExpr(
+        "id div 4 as l_orderkey", "(id * 7) % 60 as l_partkey", "id % 9 as l_suppkey", "cast(id % 4 as int) as l_linenumber"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def test_movement_of_one_graph(spark, tmp_path, monkeypatch):
+    sf, built = small_orders(spark, tmp_path), []
+    edges = inputs_load(spark, sf, "supply_edges")
+    want = lg.max_delta(lg.rank_delta(lg.rank_edges(edges, 1), lg.rank_edges(edges, 2))).first()["max_delta"]
+    graph_of = pagerank_plan.link_graph
+    monkeypatch.setattr(pagerank_plan, "link_graph", lambda *a: built.append(1) or graph_of(*a))
+    monkeypatch.setattr(pagerank_plan, "single_step", None)
+    got = QUERIES["max_delta_supply"](spark, sf).first()["max_delta"]
+    assert got == pytest.approx(want, abs=1e-6) and len(built) == 1
+
+
+@pytest.mark.parametrize("name", ["read_rank_state_files", "rank_delta_supply"])
+def test_edges_are_derived_once(spark, tmp_path, monkeypatch, name):
+    sf, given = small_orders(spark, tmp_path), []
+    monkeypatch.setattr(query_catalog, "ranked", lambda edges, *a, **k: given.append(edges.inputFiles()) or
+                        lg.rank_edges(edges, *a, **k))
+    assert QUERIES[name](spark, sf).count() > 60
+    assert len(given) == 2 and given[0] == given[1] and not any("lineitem" in path for path in given[0])
