@@ -711,6 +711,7 @@ def replay(df: DataFrame, order_col: str, start: Callable[[DataFrame], object],
     """
     spark = df.sparkSession
     path = scratch_path(spark, "arriving")
+    df = written(df, scratch_path(spark, "all"))  # read for the bounds and for each part
     bounds = df.approxQuantile(order_col, [i / parts for i in range(1, parts)], 0.01)
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2**31 - 1)
     for low, high in zip([None, *bounds], [*bounds, None]):
@@ -737,8 +738,8 @@ def stream_admit(spark, sf):
 @query
 def stream_schedule(spark, sf):
     new = lg.first_occurrence(load(spark, sf, "arrivals"), "arrival")
-    hosts = load(spark, sf, "arrival_hosts")
     path = scratch_path(spark, "schedule")
+    hosts = written(load(spark, sf, "arrival_hosts"), f"{path}/known")  # every batch reads them
     replay(new, "arrival", lambda stream: lg.start_schedule(
         stream, hosts, path, f"{path}/state", snapshot_every=2, available_now=True))
     return spark.read.parquet(f"{path}/frontier").drop("batch")
@@ -748,8 +749,8 @@ def stream_schedule(spark, sf):
 def stream_schedule_new_hosts(spark, sf):
     """Hosts that become known with the first URLs, by a second stream, across snapshots."""
     new = lg.first_occurrence(load(spark, sf, "arrivals"), "arrival")
-    hosts = load(spark, sf, "arrival_hosts")
     path = scratch_path(spark, "schedule")
+    hosts = written(load(spark, sf, "arrival_hosts"), f"{path}/known")  # every batch reads them
     hosts.where("crawl_delay >= 1.5").write.parquet(f"{path}/registered")
     entries = spark.readStream.schema(hosts.schema).parquet(f"{path}/registered")
     replay(new, "arrival", lambda stream: lg.start_schedule(

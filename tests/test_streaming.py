@@ -201,3 +201,23 @@ def test_url_files(spark, tmp_path):
     admitted = lg.stream_admit(lg.stream_url_batches(spark, str(tmp_path / "in")))
     done(lg.start_rolling_sink(admitted, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True))
     assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).select(F.col("url")).collect()) == ["a", "b"]
+
+
+def test_a_replayed_table_is_derived_once(spark):
+    from catalog.queries import replay
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(value):
+        made.add(1)
+        return value
+
+    rows = spark.range(90).select(counted("id").alias("id"))
+    seen = []
+
+    class Ended:
+        def awaitTermination(self):
+            pass
+
+    stream = replay(rows, "id", lambda arriving: seen.append(1) or Ended())
+    assert made.value == 90 and len(seen) == 3 and stream.isStreaming
