@@ -201,4 +201,6 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     def predict(text: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.predict(value) for value in text], columns=["lang", "score"])
 
-    return long_texts(docs).withColumn(out_col, F.pandas_udf(predict, "lang string, score double")(F.col(text_col)))
+    # not deterministic for the planner, as a filter on the prediction would otherwise have every text predicted twice
+    predicted = F.pandas_udf(predict, "lang string, score double").asNondeterministic()
+    return long_texts(docs).withColumn(out_col, predicted(F.col(text_col)))

@@ -31,6 +31,7 @@ from linkgraph.session import scratch_path, written
 
 MAX_SCHEMES = 4
 FLUSH = 1 << 18  # signatures a task gathers before it passes them on
+SETS_A_BATCH = 128  # sets that a task passes on at a time with their elements
 BROADCAST_IDS = 2_000_000  # ids of 8 bytes that may be broadcast; more are joined by a shuffle
 
 
@@ -240,14 +241,16 @@ def _sets_of(docs: DataFrame, id_col: str, text_col: str, size: int, reps: DataF
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(hash_words(lowered(text.as_py())), size) for text in binary(batch.column(0))]
-            found = [s for s in found if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_node(s)[0] for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
-                 pa.array([odd_sketch(s) for s in found], pa.binary()),
-                 pa.array([odd_sketch(s, FINE) for s in found], pa.binary()),
-                 pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
-                names=["node", "n", "sketch", "fine", "elements"])
+            for at in range(0, batch.num_rows, SETS_A_BATCH):
+                part = binary(batch.column(0).slice(at, SETS_A_BATCH))
+                found = [shingles(hash_words(lowered(text.as_py())), size) for text in part]
+                found = [s for s in found if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_node(s)[0] for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int64()),
+                     pa.array([odd_sketch(s) for s in found], pa.binary()),
+                     pa.array([odd_sketch(s, FINE) for s in found], pa.binary()),
+                     pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
+                    names=["node", "n", "sketch", "fine", "elements"])
 
     chosen = rows_with_ids(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")),
                            "id", reps)
@@ -277,6 +280,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 BLOCK = 4096  # members of a group that meet as one block
 FINE = 4  # cells for an element of the sketches that decide which sets are compared within a group
+COMPARED = 1 << 19  # 64-bit parts of sketches that a task compares at a time
 BLOCK_ELEMENTS = 1 << 22  # elements of all sets of a block, on average
 
 
@@ -295,11 +299,19 @@ def _in_blocks(rows: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
             .repartition("name", "first", "second").sortWithinPartitions("name", "first", "second"))
 
 
+def _values(column: pa.Array) -> list:
+    """The values of a column; lists of numbers as arrays, at a quarter of the memory of Python's numbers."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [flat[a:b].copy() for a, b in zip(ends[:-1], ends[1:])]
+
+
 def _by_block_pair(settle, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Call ``settle`` with the key and the other columns of each run of rows with the same first three columns."""
     held, key = [], None
     for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
+        for row in zip(*map(_values, batch.columns)):
             if row[:3] != key:
                 if len(held) > 1:
                     yield from settle(key, *zip(*held))
@@ -320,7 +332,7 @@ def _near(open_rows: DataFrame, sets: DataFrame, num: int, den: int, nearest: bo
         nodes, roots, blocks, sizes = (np.array(x) for x in (nodes, roots, blocks, sizes))
         width = min(map(len, sketches))
         rows = np.concatenate([_fold(np.frombuffer(s, dtype=np.uint8)[None], width) for s in sketches]).view(np.uint64)
-        step = max(1, (1 << 22) // max(1, rows.size))
+        step = max(1, COMPARED // max(1, rows.size))
         for at in range(0, len(nodes), step):
             part = slice(at, at + step)
             apart = np.bitwise_count(rows[part, None, :] ^ rows[None, :, :]).sum(axis=2, dtype=np.int64)
@@ -379,8 +391,7 @@ def _links_within(open_rows: DataFrame, sets: DataFrame, num: int, den: int) ->
     """Pairs ``a``, ``b`` of similar sets that join the components within two blocks of a group, compared in the task."""
 
     def settle(key, nodes, roots, blocks, elements) -> Iterator[pa.RecordBatch]:
-        sets_of = [np.array(e, dtype=np.int64) for e in elements]
-        found = forest_of_similar(roots, blocks, sets_of, key[1] == key[2], num, den)
+        found = forest_of_similar(roots, blocks, list(elements), key[1] == key[2], num, den)
         if found:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([min(nodes[i], nodes[j]) for i, j in found], pa.int64()),

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from linkgraph.llm import ngram_join
@@ -120,6 +121,14 @@ def test_blocks_cover_large_groups(spark, monkeypatch):
     assert got == brute.ngram_components(rows, 3, 8, 10)
 
 
+def test_lists_of_numbers_come_as_arrays():
+    rows = [[1, 2], [], [3], [4, 5, 6]]
+    got = ngram_join._values(pa.array(rows, pa.list_(pa.int64())).slice(1))
+    assert all(isinstance(g, np.ndarray) and g.base is None for g in got)
+    assert [g.tolist() for g in got] == rows[1:]
+    assert ngram_join._values(pa.array([b"a", b"b"])) == [b"a", b"b"]
+
+
 def test_ids_beyond_the_broadcast_bound_are_joined(spark):
     rows = spark.range(20).toDF("x")
     ids = spark.createDataFrame([(i,) for i in (3, 5, 7)], "id bigint")

@@ -92,6 +92,13 @@ def test_stages_equal_plain_python(spark, tmp_path):
     assert sorted(map(tuple, whole), key=str) == sorted(map(tuple, mixed), key=str)
 
 
+def test_each_text_is_predicted_once(spark, tmp_path):
+    corpus(tmp_path, spark)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.keep_known_languages(spark, docs, str(tmp_path))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_empty_tables_pass_all_stages(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
